@@ -1,7 +1,6 @@
 from riskframe.functions.numbers import parse_number, percentage, present, share
 from riskframe.functions.text import (
     card_suffix,
-    channel_code,
     clean_text,
     iso_text,
     normalize_channel,
@@ -17,7 +16,7 @@ from riskframe.functions.times import (
 )
 
 __all__ = [
-    "card_suffix", "channel_code", "clean_text", "instant", "iso_text", "normalize_channel",
+    "card_suffix", "clean_text", "instant", "iso_text", "normalize_channel",
     "normalize_currency", "parse_bool", "parse_number", "parse_timestamp", "percentage",
     "present", "share", "strip", "timestamp_offset", "timestamp_text",
 ]

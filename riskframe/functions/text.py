@@ -63,37 +63,50 @@ def iso_text(ntz: Column) -> Column:
     )
 
 
+def truth(text: Column) -> Column:
+    """Boolean of clean text."""
+    word = F.lower(text)
+    return F.when(word.isin(*TRUE_TEXT), True).when(word.isin(*FALSE_TEXT), False)
+
+
+def channel_form(text: Column) -> Column:
+    """Clean text in capitals, every run of other characters as one underscore."""
+    return F.trim(F.regexp_replace(F.upper(text), "[^A-Z0-9]+", "_"), F.lit("_"))
+
+
+def currency_form(text: Column) -> Column:
+    """Upper-cased clean text if it is three letters, else null."""
+    code = F.upper(text)
+    return F.when(code.rlike(r"^[A-Z]{3}\z"), code)
+
+
+def four_digits(text: Column) -> Column:
+    """Clean text if it is exactly four digits, else null."""
+    return F.when(text.rlike(r"^[0-9]{4}\z"), text)
+
+
 def parse_bool(c: Column, dtype: T.DataType | None = None) -> Column:
     """True/false tokens in any case; numbers only 0 and 1; anything else is null."""
     if isinstance(dtype, T.BooleanType):
         return c
     if isinstance(dtype, T.NumericType):
         return F.when(c == 1, True).when(c == 0, False)
-    text = F.lower(clean_text(c))
-    return F.when(text.isin(*TRUE_TEXT), True).when(text.isin(*FALSE_TEXT), False)
-
-
-def channel_code(c: Column, dtype: T.DataType | None = None) -> Column:
-    """Channel label in capitals, every run of other characters as one underscore."""
-    joined = F.regexp_replace(F.upper(clean_text(c, dtype)), "[^A-Z0-9]+", "_")
-    return F.trim(joined, F.lit("_"))
+    return truth(clean_text(c))
 
 
 def normalize_channel(
     c: Column, allowed: tuple[str, ...] = CHANNELS, dtype: T.DataType | None = None
 ) -> Column:
-    """Channel code if it is an allowed one, else null."""
-    code = channel_code(c, dtype)
+    """Channel label in canonical form if it is an allowed one, else null."""
+    code = channel_form(clean_text(c, dtype))
     return F.when(code.isin(*allowed), code)
 
 
 def normalize_currency(c: Column, dtype: T.DataType | None = None) -> Column:
     """Upper-cased three-letter code, else null."""
-    code = F.upper(clean_text(c, dtype))
-    return F.when(code.rlike(r"^[A-Z]{3}\z"), code)
+    return currency_form(clean_text(c, dtype))
 
 
 def card_suffix(c: Column, dtype: T.DataType | None = None) -> Column:
     """Exactly four digits with leading zeros kept, else null."""
-    text = clean_text(c, dtype)
-    return F.when(text.rlike(r"^[0-9]{4}\z"), text)
+    return four_digits(clean_text(c, dtype))
