@@ -40,6 +40,16 @@ def reject_reason(
     )
 
 
+def _settled(c: Column) -> Column:
+    """The same value, in a projection that the optimizer leaves where it is.
+
+    The condition always holds but is no constant. Without it a filter on ``reject`` would
+    be pushed below the passes and work out every rule twice, and the passes themselves
+    would be copied into every source of a union.
+    """
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
 def validate(
     df: DataFrame,
     allowed_channels: Sequence[str] = CHANNELS,
@@ -72,7 +82,7 @@ def validate(
     is_clock = isinstance(clock_type, (T.TimestampType, T.TimestampNTZType, T.DateType))
     cleaned = df.select(
         *origin,
-        *[text(f).alias(f) for f in _CLEANED],
+        *[(_settled(text(f)) if f == "transaction_id" else text(f)).alias(f) for f in _CLEANED],
         given("amount").alias("amount_given"),
         given("timestamp").alias("timestamp_given"),
         given("response_time_seconds").alias("seconds_given"),
@@ -180,10 +190,7 @@ def validate(
             reject_reason("VALIDATION", "is_fraud", c("fraud_text"), "not a boolean"),
         ),
     ]
-    # Always true, but not a constant to the optimizer: without it a later filter on
-    # ``reject`` would be pushed below these passes and every rule worked out twice.
-    once = F.spark_partition_id() >= 0
-    reject = F.when(once, F.coalesce(*rules, F.lit(None).cast(REJECT_TYPE)))
+    reject = _settled(F.coalesce(*rules, F.lit(None).cast(REJECT_TYPE)))
     stamp = F.concat(iso_text(c("clock")), F.coalesce(c("offset"), F.lit("")))
     return parsed.select(
         *origin,

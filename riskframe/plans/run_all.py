@@ -23,7 +23,7 @@ _LONG = (
     "analysis string, part string, column string, item string, metric string, value string, "
     "status string"
 )
-_ITEMS = ("value", "period", "warning", "check")
+_ITEMS = ("check", "period", "value")
 
 
 @dataclass

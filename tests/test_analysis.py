@@ -281,9 +281,11 @@ def test_run_all(spark):
         "temporal", "relationships", "outliers", "leakage"}
     n = result.long.filter("analysis = 'overview' and metric = 'n'").first()
     assert n.value == "300"
-    bare = R.run_all(df.drop("fraud_bool").withColumn("odd", F.create_map(F.lit("a"), "seq")))
+    broken = F.when(F.col("seq") >= 0, F.raise_error(F.lit("bad cell"))).cast("string")
+    bare = R.run_all(df.drop("fraud_bool").withColumn("odd", broken))
     states = {(r.analysis, r.part): r.status for r in bare.status.collect()}
     assert states["target", "balance"].startswith("skipped")
     assert states["data_quality", "duplicates"].startswith("failed")
+    assert states["overview", "size"] == "ok"
     assert states["numeric", "summary"] == "ok"
     assert bare.long.filter("status like 'failed%'").count() >= 1
