@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from riskframe.contract import (
     CHANNELS,
     FALSE_TEXT,
-    MISSING_TEXT,
+    MISSING_SPELLINGS,
     TRUE_TEXT,
     WHITESPACE,
 )
@@ -35,11 +35,21 @@ def _number_text(c: Column) -> Column:
     )
 
 
+def _clean(c: Column) -> Column:
+    # Most cells begin and end with a visible ASCII character and need no stripping, which
+    # is the costly part.
+    first, last = F.substring(c, 1, 1), F.substring(c, -1, 1)
+    visible = first.between("!", "~") & last.between("!", "~")
+    stripped = strip(c)
+    return F.when(visible, F.when(~c.isin(*MISSING_SPELLINGS), c)).otherwise(
+        F.when(~stripped.isin(*MISSING_SPELLINGS), stripped)
+    )
+
+
 def clean_text(c: Column, dtype: T.DataType | None = None) -> Column:
     """Stripped text, or null for an empty-cell marker. ``dtype`` is the column's type."""
     if dtype is None or isinstance(dtype, (T.StringType, T.NullType)):
-        text = strip(c.cast("string"))
-        return F.when(~F.lower(text).isin(*MISSING_TEXT), text)
+        return _clean(c.cast("string"))
     if isinstance(dtype, T.BooleanType):
         return F.initcap(c.cast("string"))
     if isinstance(dtype, (T.FloatType, T.DoubleType)):

@@ -60,7 +60,11 @@ def offset_text(text: Column) -> Column:
     padded = F.rpad(F.translate(signed, ":", ""), 7, "0")
     minutes = F.regexp_replace(padded, "^(...)(..)00$", "$1:$2")
     seconds = F.regexp_replace(minutes, "^(...)(..)(..)$", "$1:$2:$3")
-    return F.when(text.rlike(_TAIL_OFFSET), F.regexp_replace(seconds, "^-00:00$", "+00:00"))
+    # Cheap signs of an offset first: Z at the end, or + or - behind the date.
+    hint = text.endswith("Z") | text.contains("+") | F.substring(text, 11, 40).contains("-")
+    return F.when(
+        hint & text.rlike(_TAIL_OFFSET), F.regexp_replace(seconds, "^-00:00$", "+00:00")
+    )
 
 
 def parse_timestamp(c: Column, dtype: T.DataType | None = None) -> Column:
