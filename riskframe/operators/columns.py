@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +42,9 @@ def text_of(df: DataFrame, name: str) -> Column:
 
 def number_of(df: DataFrame, name: str) -> Column:
     """The column as double with NaN as null."""
-    return present(cell(name))
+    if isinstance(df.schema[name].dataType, _REAL):
+        return present(cell(name))
+    return cell(name).cast("double")
 
 
 def is_positive(df: DataFrame, target: str, positive=1) -> Column:
@@ -64,6 +66,38 @@ def require(df: DataFrame, *names: str) -> None:
         raise ValueError(f"no such column(s): {', '.join(missing)}")
 
 
+def melt(
+    df: DataFrame, cells: Mapping[str, Column], name: str, keep: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """One row ``(column, <name>)`` per non-null cell, with the ``keep`` columns repeated.
+
+    An aggregate grouped by ``column`` is one small piece of generated code for any number of
+    columns. The same aggregates side by side grow past what the JVM compiles from about a
+    dozen columns on, and then run many times slower.
+    """
+    keep = keep or {}
+    wide = df.select(
+        *[c.alias(k) for k, c in keep.items()], *[c.alias(n) for n, c in cells.items()]
+    )
+    long = wide.unpivot([F.col(k) for k in keep], [cell(n) for n in cells], "column", name)
+    return long.filter(F.col(name).isNotNull())
+
+
+def listed(
+    df: DataFrame, structs: Sequence[Column], names: Sequence[str], stats: DataFrame
+) -> DataFrame:
+    """``stats``, one row per column at most, brought to one row per struct of known facts.
+
+    Columns without a row in ``stats`` have nulls there.
+    """
+    facts = df.sparkSession.range(1).select(F.inline(F.array(*structs)))
+    return facts.join(F.broadcast(stats), "column", "left").select(*names)
+
+
+def empty_frame(df: DataFrame, schema: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([], schema)
+
+
 def rows_from(one_row: DataFrame, structs: Sequence[Column], schema: str) -> DataFrame:
     """Turn a one-row aggregate into one row per struct."""
     if not structs:

@@ -20,12 +20,13 @@ from riskframe.contract import (
 from riskframe.functions import share
 from riskframe.operators.categories import value_counts
 from riskframe.operators.columns import (
+    empty_frame,
     label_value,
+    melt,
     number_of,
     require,
-    rows_from,
-    value_of,
 )
+from riskframe.operators.profile import presence
 from riskframe.operators.roles import period_columns, split_columns
 from riskframe.operators.temporal import period_shifts
 from riskframe.sources.files import head
@@ -35,9 +36,8 @@ _ROW = "__row_number"
 
 
 def _pearson(x: Column, y: Column) -> Column:
-    # Each side is nulled where the other is missing. ``corr`` would raise a division by
-    # zero on a constant column under ANSI rules; here it has no value.
-    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    # ``corr`` would raise a division by zero on a constant under ANSI rules; here it has no
+    # value.
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
@@ -55,53 +55,26 @@ def _numbered(df: DataFrame) -> DataFrame:
 def constant_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns among the given ones with a single value, null counted as one."""
     require(df, *columns)
-    sums, rows = _constant_parts(df, columns)
-    return rows_from(df.agg(*sums), rows, "column string, n bigint, constant boolean").filter(
-        "constant"
-    ).select("column", "n")
-
-
-def _constant_parts(df: DataFrame, columns: Sequence[str]) -> tuple[list[Column], list[Column]]:
-    sums, rows = [F.count(F.lit(1)).alias("rows")], []
-    for i, name in enumerate(columns):
-        c = value_of(df, name)
-        sums += [F.count(c).alias(f"have{i}"), (F.min(c) == F.max(c)).alias(f"same{i}")]
-        have = F.col(f"have{i}")
-        same = F.when(have == 0, True).otherwise((have == F.col("rows")) & F.col(f"same{i}"))
-        rows.append(
-            F.struct(
-                F.lit(name).alias("column"), F.col("rows").alias("n"), same.alias("constant")
-            )
-        )
-    return sums, rows
+    return presence(df, columns).filter("is_constant").select("column", "n")
 
 
 def label_correlations(
     df: DataFrame, columns: Sequence[str], target: str, positive=1
 ) -> DataFrame:
-    """Pearson correlation of each column with the label over rows that have both."""
-    require(df, target, *columns)
-    sums, rows = _correlation_parts(df, columns, target, positive)
-    return rows_from(df.agg(*sums), rows, "column string, n bigint, r double")
-
+    """Pearson correlation of each column with the label over rows that have both.
 
-def _correlation_parts(
-    df: DataFrame, columns: Sequence[str], target: str, positive
-) -> tuple[list[Column], list[Column]]:
+    Null for a constant; a column without a row that has both is absent.
+    """
+    require(df, target, *columns)
+    if not columns:
+        return empty_frame(df, "column string, n bigint, r double")
     y = label_value(df, target, positive)
-    sums, rows = [F.count(y).alias("labels")], []
-    for i, name in enumerate(columns):
-        x = number_of(df, name)
-        sums += [
-            F.count(F.when(y.isNotNull(), x)).alias(f"both{i}"),
-            _pearson(x, y).alias(f"r{i}"),
-        ]
-        rows.append(
-            F.struct(
-                F.lit(name).alias("column"), F.col(f"both{i}").alias("n"), F.col(f"r{i}").alias("r")
-            )
-        )
-    return sums, rows
+    pairs = melt(
+        df.filter(y.isNotNull()), {c: number_of(df, c) for c in columns}, "x", {"y": y}
+    )
+    return pairs.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), _pearson(F.col("x"), F.col("y")).alias("r")
+    )
 
 
 def high_correlations(
@@ -240,18 +213,10 @@ written down; the findings are written down as well, so that reading them, and a
     periods = period_columns(df, max_periods)[:1]
 
     features = [*categorical, *continuous]
-    constant_sums, constant_rows = _constant_parts(df, features)
-    r_sums, r_rows = _correlation_parts(df, continuous, target, positive)
-    prints = {
-        c: _fingerprint(number_of(df, c)).alias(f"mark{i}") for i, c in enumerate(continuous)
-    }
-    marks = [] if first_rows else list(prints.values())
-    scanned = materialize(_numbered(df).agg(*constant_sums, *r_sums, *marks), "scan")
-
-    constant = rows_from(scanned, constant_rows, "column string, n bigint, constant boolean")
-    r = rows_from(scanned, r_rows, "column string, n bigint, r double")
+    constant = constant_features(df, features)
+    r = label_correlations(df, continuous, target, positive)
     findings = [
-        _tidy("constant", constant.filter("constant"), "one value only, no signal"),
+        _tidy("constant", constant, "one value only, no signal"),
         _tidy(
             "correlation",
             r.withColumn("r", F.abs("r")).filter(F.col("r") > correlation),
@@ -269,16 +234,7 @@ written down; the findings are written down as well, so that reading them, and a
                 "positive_rate",
             )
         )
-    if first_rows:
-        copies = near_duplicates(df, continuous, first_rows, order_by)
-    else:
-        row = scanned.first()
-        found = confirmed_duplicates(
-            df,
-            {c: number_of(df, c) for c in continuous},
-            {c: row[f"mark{i}"] for i, c in enumerate(continuous)},
-        )
-        copies = df.sparkSession.createDataFrame(found, "column string, duplicate_of string")
+    copies = near_duplicates(df, continuous, first_rows, order_by)
     findings.append(
         _tidy("duplicate", copies, "same values as another column", "duplicate_of", None)
     )

@@ -9,25 +9,35 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskframe.functions import share
-from riskframe.operators.columns import is_positive, number_of, require, rows_from
-from riskframe.operators.quantiles import DIRECT_CELLS, quantile_columns, quantiles
+from riskframe.operators.columns import (
+    empty_frame,
+    is_positive,
+    listed,
+    melt,
+    number_of,
+    require,
+)
+from riskframe.operators.quantiles import DIRECT_CELLS, quantiles
 
 _SUMMARY = (
-    "column string, n bigint, mean double, median double, std double, min double, max double, "
-    "p5 double, p25 double, p75 double, p95 double, "
-    "zeros bigint, zero_share double, neg_ones bigint, neg_one_share double"
+    "column", "n", "mean", "median", "std", "min", "max", "p5", "p25", "p75", "p95", "zeros",
+    "zero_share", "neg_ones", "neg_one_share",
 )
 _COMPARED = (
-    "column string, pos_n bigint, pos_mean double, pos_median double, "
-    "neg_n bigint, neg_mean double, neg_median double, comparable boolean"
-)
-_OUTLIERS = (
-    "column string, q1 double, q3 double, lower double, upper double, n bigint, "
-    "outliers bigint, share double"
+    "column", "pos_n", "pos_mean", "pos_median", "neg_n", "neg_mean", "neg_median", "comparable",
 )
+_OUTLIERS = ("column", "q1", "q3", "lower", "upper", "n", "outliers", "share")
 _EXTREMES = "column string, value double, distance double, rank int"
 
 
+def _schema(names: Sequence[str], **types: str) -> str:
+    return ", ".join(f"{n} {types.get(n, 'double')}" for n in names)
+
+
+def _known(values: Mapping[str, float | None]) -> list[Column]:
+    return [F.lit(v).cast("double").alias(k) for k, v in values.items()]
+
+
 def numeric_summary(
     df: DataFrame, columns: Sequence[str], approx: bool = False, direct_cells: int = DIRECT_CELLS
 ) -> DataFrame:
@@ -36,39 +46,47 @@ def numeric_summary(
     Shares are of the non-null count. Percentiles are exact unless ``approx``.
     """
     require(df, *columns)
-    x = {c: number_of(df, c) for c in columns}
-    spread = quantile_columns(df, x, (0.05, 0.25, 0.5, 0.75, 0.95), direct_cells, approx)
-    sums, rows = [], []
-    for i, (name, v) in enumerate(x.items()):
-        parts = {
-            "n": F.count(v),
-            "mean": F.avg(v),
-            "std": F.stddev_samp(v),
-            "min": F.min(v),
-            "max": F.max(v),
-            "zeros": F.count_if(v == 0),
-            "neg_ones": F.count_if(v == -1),
-            "q": spread[name],
-        }
-        sums += [e.alias(f"{k}{i}") for k, e in parts.items()]
-        got = {k: F.col(f"{k}{i}") for k in parts}
-        q = {p: F.get(got["q"], F.lit(j)) for j, p in enumerate(("p5", "p25", "median", "p75", "p95"))}
-        rows.append(
-            F.struct(
-                F.lit(name).alias("column"), got["n"].alias("n"), got["mean"].alias("mean"),
-                q["median"].alias("median"), got["std"].alias("std"), got["min"].alias("min"),
-                got["max"].alias("max"),
-                *[q[p].alias(p) for p in ("p5", "p25", "p75", "p95")],
-                got["zeros"].alias("zeros"), share(got["zeros"], got["n"]).alias("zero_share"),
-                got["neg_ones"].alias("neg_ones"),
-                share(got["neg_ones"], got["n"]).alias("neg_one_share"),
-            )
+    if not columns:
+        return empty_frame(df, _schema(_SUMMARY, column="string", n="bigint", zeros="bigint", neg_ones="bigint"))
+    cells = {c: number_of(df, c) for c in columns}
+    spread = quantiles(df, cells, (0.05, 0.25, 0.5, 0.75, 0.95), direct_cells, approx)
+    x = F.col("x")
+    stats = (
+        melt(df, cells, "x")
+        .groupBy("column")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.avg(x).alias("mean"),
+            F.stddev_samp(x).alias("std"),
+            F.min(x).alias("min"),
+            F.max(x).alias("max"),
+            F.count_if(x == 0).alias("zero_rows"),
+            F.count_if(x == -1).alias("neg_rows"),
         )
-    return rows_from(df.agg(*sums), rows, _SUMMARY) if sums else _empty(df, _SUMMARY)
-
-
-def _empty(df: DataFrame, schema: str) -> DataFrame:
-    return df.sparkSession.createDataFrame([], schema)
+    )
+    facts = [
+        F.struct(
+            F.lit(c).alias("column"),
+            *_known(dict(zip(("p5", "p25", "median", "p75", "p95"), spread[c]))),
+        )
+        for c in columns
+    ]
+    kept = ["column", "rows", "mean", "median", "std", "min", "max", "p5", "p25", "p75", "p95",
+            "zero_rows", "neg_rows"]
+    none = F.lit(0).cast("bigint")
+    table = listed(df, facts, kept, stats).withColumns(
+        {
+            "n": F.coalesce("rows", none),
+            "zeros": F.coalesce("zero_rows", none),
+            "neg_ones": F.coalesce("neg_rows", none),
+        }
+    )
+    return table.withColumns(
+        {
+            "zero_share": share(F.col("zeros"), F.col("n")),
+            "neg_one_share": share(F.col("neg_ones"), F.col("n")),
+        }
+    ).select(*_SUMMARY)
 
 
 def label_by_numeric(
@@ -84,31 +102,37 @@ def label_by_numeric(
     """
     require(df, target, *columns)
     if not columns:
-        return _empty(df, _COMPARED)
+        return empty_frame(df, _schema(
+            _COMPARED, column="string", pos_n="bigint", neg_n="bigint", comparable="boolean"))
     pos = is_positive(df, target, positive)
-    sides = {}
-    for i, name in enumerate(columns):
-        v = number_of(df, name)
-        sides[f"pos_{i}"] = F.when(pos, v)
-        sides[f"neg_{i}"] = F.when(~pos, v)
-    middle = quantile_columns(df, sides, (0.5,), direct_cells)
-    sums = []
-    for key, v in sides.items():
-        sums += [
-            F.count(v).alias(f"n_{key}"),
-            F.avg(v).alias(f"mean_{key}"),
-            F.get(middle[key], F.lit(0)).alias(f"median_{key}"),
-        ]
-    rows = []
-    for i, name in enumerate(columns):
-        parts = [
-            F.col(f"{stat}_{side}_{i}").alias(f"{side}_{stat}")
-            for side in ("pos", "neg")
-            for stat in ("n", "mean", "median")
-        ]
-        both = (F.col(f"n_pos_{i}") > 0) & (F.col(f"n_neg_{i}") > 0)
-        rows.append(F.struct(F.lit(name).alias("column"), *parts, both.alias("comparable")))
-    return rows_from(df.agg(*sums), rows, _COMPARED)
+    cells = {c: number_of(df, c) for c in columns}
+    sides = {f"pos {c}": F.when(pos, x) for c, x in cells.items()}
+    sides |= {f"neg {c}": F.when(~pos, x) for c, x in cells.items()}
+    middle = quantiles(df, sides, (0.5,), direct_cells)
+    stats = (
+        melt(df, cells, "x", {"pos": pos})
+        .groupBy("column")
+        .agg(
+            F.count_if("pos").alias("pos_rows"),
+            F.avg(F.when(F.col("pos"), F.col("x"))).alias("pos_mean"),
+            F.count_if(~F.col("pos")).alias("neg_rows"),
+            F.avg(F.when(~F.col("pos"), F.col("x"))).alias("neg_mean"),
+        )
+    )
+    facts = [
+        F.struct(
+            F.lit(c).alias("column"),
+            *_known({"pos_median": middle[f"pos {c}"][0], "neg_median": middle[f"neg {c}"][0]}),
+        )
+        for c in columns
+    ]
+    kept = ["column", "pos_rows", "pos_mean", "pos_median", "neg_rows", "neg_mean", "neg_median"]
+    none = F.lit(0).cast("bigint")
+    table = listed(df, facts, kept, stats).withColumns(
+        {"pos_n": F.coalesce("pos_rows", none), "neg_n": F.coalesce("neg_rows", none)}
+    )
+    both = (F.col("pos_n") > 0) & (F.col("neg_n") > 0)
+    return table.withColumn("comparable", both).select(*_COMPARED)
 
 
 def quartiles(
@@ -138,25 +162,31 @@ def iqr_outliers(
     The fences are known before the scan, so counting is one aggregate without a join.
     Columns without values have null fences.
     """
+    require(df, *columns)
+    if not columns:
+        return empty_frame(df, _schema(_OUTLIERS, column="string", n="bigint", outliers="bigint"))
     quartile = quartiles(df, columns) if quartile is None else quartile
     fences = _fences(quartile, k)
-    sums, rows = [], []
-    for i, name in enumerate(columns):
+    # 1 beyond the fences, 0 within them, null without a value.
+    beyond, facts = {}, []
+    for name in columns:
         v = number_of(df, name)
         q1, _, q3, low, high = fences.get(name, (None,) * 5)
-        beyond = (v < low) | (v > high) if low is not None else F.lit(False)
-        sums += [F.count(v).alias(f"n{i}"), F.count_if(beyond).alias(f"o{i}")]
-        known = [F.lit(x).cast("double") for x in (q1, q3, low, high)]
-        rows.append(
-            F.struct(
-                F.lit(name).alias("column"),
-                *[x.alias(a) for x, a in zip(known, ("q1", "q3", "lower", "upper"))],
-                F.col(f"n{i}").alias("n"),
-                F.col(f"o{i}").alias("outliers"),
-                share(F.col(f"o{i}"), F.col(f"n{i}")).alias("share"),
-            )
+        if low is not None:
+            beyond[name] = F.when(v.isNotNull(), ((v < low) | (v > high)).cast("int"))
+        known = _known({"q1": q1, "q3": q3, "lower": low, "upper": high})
+        facts.append(F.struct(F.lit(name).alias("column"), *known))
+    if beyond:
+        stats = melt(df, beyond, "out").groupBy("column").agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("out").alias("hits")
         )
-    return rows_from(df.agg(*sums), rows, _OUTLIERS) if sums else _empty(df, _OUTLIERS)
+    else:
+        stats = empty_frame(df, "column string, rows bigint, hits bigint")
+    none = F.lit(0).cast("bigint")
+    table = listed(
+        df, facts, ["column", "q1", "q3", "lower", "upper", "rows", "hits"], stats
+    ).withColumns({"n": F.coalesce("rows", none), "outliers": F.coalesce("hits", none)})
+    return table.withColumn("share", share(F.col("outliers"), F.col("n"))).select(*_OUTLIERS)
 
 
 def extreme_values(
@@ -172,21 +202,13 @@ def extreme_values(
     shuffle. Equal distances go by value.
     """
     quartile = quartiles(df, columns) if quartile is None else quartile
-    cells = []
+    cells, distance = {}, []
     for name, (_, middle, _, low, high) in _fences(quartile, k).items():
         v = number_of(df, name)
-        beyond = F.when((v < low) | (v > high), v)
-        cells.append(
-            F.struct(
-                F.lit(name).alias("column"),
-                beyond.alias("value"),
-                F.abs(beyond - middle).alias("distance"),
-            )
-        )
+        cells[name] = F.when((v < low) | (v > high), v)
+        distance.append(F.when(F.col("column") == name, F.abs(F.col("value") - middle)))
     if not cells:
-        return _empty(df, _EXTREMES)
-    outliers = df.select(
-        F.inline(F.filter(F.array(*cells), lambda s: s["value"].isNotNull()))
-    )
+        return empty_frame(df, _EXTREMES)
+    outliers = melt(df, cells, "value").withColumn("distance", F.coalesce(*distance))
     w = Window.partitionBy("column").orderBy(F.desc("distance"), F.desc("value"))
     return outliers.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,19 +12,24 @@ from pyspark.sql import types as T
 from riskframe.functions import share
 from riskframe.operators.categories import distinct_counts
 from riskframe.operators.columns import (
+    empty_frame,
     is_number,
     is_positive,
+    listed,
+    melt,
     number_of,
     require,
     rows_from,
     value_of,
 )
 
-_STATS_SCHEMA = (
-    "ordinal int, column string, type string, n bigint, missing bigint, missing_share double, "
-    "is_constant boolean, neg_one bigint, other_negative bigint, "
-    "mean double, std double, min double, max double"
+_STATS = (
+    "ordinal", "column", "type", "n", "missing", "missing_share", "is_constant", "neg_one",
+    "other_negative", "mean", "std", "min", "max",
 )
+# Presence and constancy are three small aggregates per column; this many columns side by
+# side still make code the JVM compiles.
+_SIDE_BY_SIDE = 24
 
 
 def overview(df: DataFrame) -> DataFrame:
@@ -43,94 +49,136 @@ def _can_compare(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
-def _scan(df: DataFrame) -> tuple[list[Column], list[Column]]:
-    """Aggregates of one scan over all columns, and one struct per column made of them."""
-    sums, rows = [F.count(F.lit(1)).alias("n")], []
-    for i, f in enumerate(df.schema):
-        c = value_of(df, f.name)
-        sums.append(F.count(c).alias(f"have{i}"))
-        if _can_compare(f.dataType):
-            sums.append((F.min(c) == F.max(c)).alias(f"same{i}"))
-        else:
-            sums.append(F.lit(None).cast("boolean").alias(f"same{i}"))
-        none = F.lit(None)
-        pieces = {k: none.cast("bigint") for k in ("neg_one", "other_negative")}
-        pieces |= {k: none.cast("double") for k in ("mean", "std", "min", "max")}
-        if is_number(f.dataType):
-            x = number_of(df, f.name)
-            pieces = {
-                "neg_one": F.count_if(x == -1),
-                "other_negative": F.count_if((x < 0) & (x != -1)),
-                "mean": F.avg(x),
-                "std": F.stddev_samp(x),
-                "min": F.min(x),
-                "max": F.max(x),
-            }
-            sums += [e.alias(f"{k}{i}") for k, e in pieces.items()]
-            pieces = {k: F.col(f"{k}{i}") for k in pieces}
-        n, have = F.col("n"), F.col(f"have{i}")
-        # One value and no null, or nothing but nulls.
-        constant = F.when(have == 0, True).otherwise((have == n) & F.col(f"same{i}"))
-        rows.append(
-            F.struct(
-                F.lit(i).alias("ordinal"),
-                F.lit(f.name).alias("column"),
-                F.lit(f.dataType.simpleString()).alias("type"),
-                n.alias("n"),
-                (n - have).alias("missing"),
-                share(n - have, n).alias("missing_share"),
-                constant.alias("is_constant"),
-                *[c.alias(k) for k, c in pieces.items()],
+def presence(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Per column: rows, missing cells and whether it has a single value, null counted as one.
+
+    Wide tables are taken a few columns at a time; a columnar source reads no column twice.
+    """
+    names = list(df.columns if columns is None else columns)
+    if not names:
+        return empty_frame(df, "column string, n bigint, missing bigint, is_constant boolean")
+    parts = []
+    for start in range(0, len(names), _SIDE_BY_SIDE):
+        sums, rows = [F.count(F.lit(1)).alias("n")], []
+        for i, name in enumerate(names[start : start + _SIDE_BY_SIDE]):
+            c = value_of(df, name)
+            same = F.min(c) == F.max(c) if _can_compare(df.schema[name].dataType) else F.lit(None)
+            sums += [F.count(c).alias(f"have{i}"), same.cast("boolean").alias(f"same{i}")]
+            n, have = F.col("n"), F.col(f"have{i}")
+            constant = F.when(have == 0, True).otherwise((have == n) & F.col(f"same{i}"))
+            rows.append(
+                F.struct(
+                    F.lit(name).alias("column"),
+                    n.alias("n"),
+                    (n - have).alias("missing"),
+                    constant.alias("is_constant"),
+                )
             )
+        parts.append(df.agg(*sums).select(F.inline(F.array(*rows))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def moments(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Per numeric column with a value: sentinels, other negatives, mean, std and range."""
+    if columns is None:
+        columns = [f.name for f in df.schema if is_number(f.dataType)]
+    if not columns:
+        return empty_frame(
+            df,
+            "column string, neg_one bigint, other_negative bigint, mean double, std double, "
+            "min double, max double",
+        )
+    x = F.col("x")
+    return (
+        melt(df, {c: number_of(df, c) for c in columns}, "x")
+        .groupBy("column")
+        .agg(
+            F.count_if(x == -1).alias("neg_one"),
+            F.count_if((x < 0) & (x != -1)).alias("other_negative"),
+            F.avg(x).alias("mean"),
+            F.stddev_samp(x).alias("std"),
+            F.min(x).alias("min"),
+            F.max(x).alias("max"),
         )
-    return sums, rows
+    )
 
 
 def column_scan(df: DataFrame) -> DataFrame:
     """Per column: type, missing, constancy, sentinel and other negatives, mean, std, range.
 
-    A single scan with one row of partial results per task.
+    Two aggregates with one small row per column and task: presence of all columns side by
+    side, and the moments of the numeric ones.
     """
-    sums, rows = _scan(df)
-    return rows_from(df.agg(*sums), rows, _STATS_SCHEMA)
+    facts = [
+        F.struct(
+            F.lit(i).alias("ordinal"),
+            F.lit(f.name).alias("column"),
+            F.lit(f.dataType.simpleString()).alias("type"),
+            F.lit(is_number(f.dataType)).alias("number"),
+        )
+        for i, f in enumerate(df.schema)
+    ]
+    # One row per column on either side.
+    seen = presence(df).join(F.broadcast(moments(df)), "column", "left")
+
+    def counted(name: str) -> Column:
+        return F.when(F.col("number"), F.coalesce(name, F.lit(0).cast("bigint")))
+
+    return (
+        listed(df, facts, ["number", *[c for c in _STATS if c != "missing_share"]], seen)
+        .withColumns(
+            {
+                "missing_share": share(F.col("missing"), F.col("n")),
+                "neg_one": counted("neg_one"),
+                "other_negative": counted("other_negative"),
+            }
+        )
+        .select(*_STATS)
+    )
 
 
 def column_stats(df: DataFrame, distinct: str = "exact") -> DataFrame:
     """``column_scan`` plus the number of distinct non-null values.
 
-    ``exact`` counts them through one shuffle of (column, value) pairs; ``approximate``
-    adds a sketch per column to the scan.
+    ``exact`` counts them through one shuffle of (column, value) pairs per kind of column;
+    ``approximate`` by a sketch per column.
     """
     if distinct == "approximate":
-        sums, rows = _scan(df)
-        for i, name in enumerate(df.columns):
-            sums.append(F.approx_count_distinct(value_of(df, name)).alias(f"distinct{i}"))
-        rows = [r.withField("distinct", F.col(f"distinct{i}")) for i, r in enumerate(rows)]
-        stats = rows_from(df.agg(*sums), rows, _STATS_SCHEMA + ", distinct bigint")
+        guess = df.agg(
+            *[F.approx_count_distinct(value_of(df, c)).alias(f"d{i}") for i, c in enumerate(df.columns)]
+        )
+        pairs = [
+            F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("distinct"))
+            for i, c in enumerate(df.columns)
+        ]
+        counts = guess.select(F.inline(F.array(*pairs)))
     elif distinct == "exact":
-        # One row per column on the broadcast side.
-        stats = column_scan(df).join(F.broadcast(distinct_counts(df)), "column", "left")
-        stats = stats.withColumn("distinct", F.coalesce("distinct", F.lit(0)))
+        counts = distinct_counts(df)
     else:
         raise ValueError(f"unknown distinct: {distinct!r}")
+    # One row per column on the broadcast side.
+    stats = column_scan(df).join(F.broadcast(counts), "column", "left")
+    stats = stats.withColumn("distinct", F.coalesce("distinct", F.lit(0).cast("bigint")))
     first = ["ordinal", "column", "type", "n", "missing", "missing_share", "distinct"]
     return stats.select(*first, *[c for c in stats.columns if c not in first])
 
 
 def missing_values(df: DataFrame) -> DataFrame:
     """Columns with missing values, most first."""
-    stats = column_scan(df).filter(F.col("missing") > 0)
-    return stats.select("column", "missing", "missing_share").orderBy(F.desc("missing"), "column")
+    stats = presence(df).filter(F.col("missing") > 0)
+    rate = share(F.col("missing"), F.col("n")).alias("missing_share")
+    return stats.select("column", "missing", rate).orderBy(F.desc("missing"), "column")
 
 
 def constant_columns(df: DataFrame) -> DataFrame:
     """Columns with a single value, null counted as one."""
-    return column_scan(df).filter("is_constant").select("ordinal", "column")
+    return presence(df).filter("is_constant").select("column")
 
 
 def negative_values(df: DataFrame) -> DataFrame:
     """Count and share of the sentinel -1 and of other negatives per numeric column."""
-    stats = column_scan(df).filter(F.col("neg_one").isNotNull())
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    stats = moments(df).withColumn("n", total)
     return stats.select(
         "column",
         "neg_one",
@@ -172,8 +220,8 @@ def duplicate_rows(
 
 def quality_warnings(df: DataFrame) -> DataFrame:
     """``(warning, n)``: mostly missing columns, constant columns, duplicate rows; n > 0 only."""
-    stats = column_scan(df).agg(
-        F.count_if(F.col("missing_share") > 0.5).alias("missing"),
+    stats = presence(df).agg(
+        F.count_if(share(F.col("missing"), F.col("n")) > 0.5).alias("missing"),
         F.count_if("is_constant").alias("constant"),
     )
     found = rows_from(

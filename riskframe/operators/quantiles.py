@@ -1,90 +1,86 @@
 """Exact quantiles with linear interpolation at any size.
 
-Up to a checked number of cells Spark's ``percentile`` is used: it keeps every value of a
-column in one aggregation buffer, which is fine while that is small. Beyond it the values at
-the wanted ranks are found by narrowing: a sketch proposes two pivots per rank, one scan
-counts the rows on either side of them, and the bracket that holds the rank is kept, until
-few enough values remain to be sorted. Only counts and pivots leave the executors, nothing is
-shuffled but sketches, and the counts make the outcome exact whatever the sketch's error.
+The values at the wanted ranks are found by narrowing. A sketch per column proposes values
+close to each rank (pivots); one scan counts how many values lie below and at every pivot, so
+each rank is then known to be a pivot or to lie between two of them. Ranks that still have
+many values between their pivots go another round; the few values around the others are
+gathered and sorted. Only sketches, counts and gathered values are shuffled, never the data,
+and the counts make the outcome exact whatever the error of the sketch.
+
+For a small number of cells, checked, Spark's ``percentile`` does it in one job: it keeps
+every value of a column in one buffer.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-DIRECT_CELLS = 5_000_000
+from riskframe.operators.columns import melt
+
+DIRECT_CELLS = 100_000
 GATHER_ROWS = 200_000
-_ACCURACY = 10_000
+# The sketch is finer where a round costs more than a larger sketch.
+_LARGE = 100_000_000
+_ACCURACY, _FINE_ACCURACY = 1_000, 10_000
 
 
 @dataclass
-class _Rank:
-    """One value to find: the one at 0-based ``rank`` among a column's ``rows`` values."""
+class _Search:
+    """What is known of one column: pivots with the counts of values below and up to them."""
 
-    column: str
-    rank: int
     rows: int
-    above: float | None = None  # the value is greater than this
-    below: float | None = None  # and less than this
-    before: int = 0  # values not above the bracket
-    inside: int = 0  # values within it
-    found: float | None = None
-
-    def bracket(self, value: Column) -> Column:
-        held = value.isNotNull()
-        if self.above is not None:
-            held = held & (value > self.above)
-        if self.below is not None:
-            held = held & (value < self.below)
-        return held
-
-    def settle(self, pivot: float, less: int, upto: int) -> None:
-        """Use the in-bracket counts of values below a pivot and up to it."""
-        if self.found is not None:
-            return
-        offset = self.rank - self.before
-        if offset < less:
-            self.below, self.inside = pivot, less
-        elif offset < upto:
-            self.found = pivot
-        else:
-            self.above = pivot
-            self.before += upto
-            self.inside -= upto
+    wanted: set[int]
+    pivots: list[float] = field(default_factory=list)
+    below: list[int] = field(default_factory=list)
+    upto: list[int] = field(default_factory=list)
+    found: dict[int, float] = field(default_factory=dict)
+
+    def learn(self, pivots: Sequence[float], below: Sequence[int], upto: Sequence[int]) -> None:
+        known = dict(zip(self.pivots, zip(self.below, self.upto)))
+        known.update(zip(pivots, zip(below, upto)))
+        self.pivots = sorted(known)
+        self.below = [known[p][0] for p in self.pivots]
+        self.upto = [known[p][1] for p in self.pivots]
+        for rank in self.wanted - self.found.keys():
+            i = self._first_reaching(rank)
+            if i < len(self.pivots) and self.below[i] <= rank:
+                self.found[rank] = self.pivots[i]
+
+    def _first_reaching(self, rank: int) -> int:
+        return bisect_left(self.upto, rank + 1)
+
+    def open_brackets(self) -> dict[tuple, tuple[int, int, list[int]]]:
+        """``(above, below)`` of unresolved ranks: values before, values inside, ranks."""
+        brackets: dict[tuple, tuple[int, int, list[int]]] = {}
+        for rank in sorted(self.wanted - self.found.keys()):
+            i = self._first_reaching(rank)
+            above = self.pivots[i - 1] if i else None
+            before = self.upto[i - 1] if i else 0
+            below = self.pivots[i] if i < len(self.pivots) else None
+            end = self.below[i] if i < len(self.pivots) else self.rows
+            brackets.setdefault((above, below), (before, end - before, []))[2].append(rank)
+        return brackets
+
+
+def _within(value: Column, above: float | None, below: float | None) -> Column:
+    held = value.isNotNull()
+    if above is not None:
+        held = held & (value > above)
+    if below is not None:
+        held = held & (value < below)
+    return held
 
 
 def direct_ok(df: DataFrame, values: Mapping[str, Column], direct_cells: int) -> bool:
     """Whether the values fit one aggregation buffer each. A row count is free on Parquet."""
-    return df.count() * max(len(values), 1) <= direct_cells
-
-
-def quantile_columns(
-    df: DataFrame,
-    values: Mapping[str, Column],
-    probabilities: Sequence[float],
-    direct_cells: int = DIRECT_CELLS,
-    approximate: bool = False,
-) -> dict[str, Column]:
-    """For each named double expression an array of quantiles, to be used in ``df.agg``."""
-    probabilities = list(probabilities)
-    if approximate:
-        return {
-            k: F.percentile_approx(v, probabilities, _ACCURACY) for k, v in values.items()
-        }
-    if direct_ok(df, values, direct_cells):
-        return {
-            k: F.percentile(v, F.array(*map(F.lit, probabilities))) for k, v in values.items()
-        }
-    exact = narrowed_quantiles(df, values, probabilities)
-    return {
-        k: F.array(*[F.lit(x).cast("double") for x in exact[k]]) for k in values
-    }
+    return direct_cells > 0 and df.count() * max(len(values), 1) <= direct_cells
 
 
 def quantiles(
@@ -92,19 +88,24 @@ def quantiles(
     values: Mapping[str, Column],
     probabilities: Sequence[float],
     direct_cells: int = DIRECT_CELLS,
+    approximate: bool = False,
 ) -> dict[str, list[float | None]]:
-    """The same as numbers on the driver: names times probabilities, whatever the data."""
+    """Quantiles of named double expressions, null for one without values.
+
+    The result is as large as names times probabilities, whatever the data.
+    """
     if not values:
         return {}
-    none = [None] * len(probabilities)
-    if not direct_ok(df, values, direct_cells):
+    probabilities = list(probabilities)
+    if approximate:
+        make = [F.percentile_approx(v, probabilities, _FINE_ACCURACY) for v in values.values()]
+    elif direct_ok(df, values, direct_cells):
+        wanted = F.array(*map(F.lit, probabilities))
+        make = [F.percentile(v, wanted) for v in values.values()]
+    else:
         return narrowed_quantiles(df, values, probabilities)
-    row = df.agg(
-        *[
-            F.percentile(v, F.array(*map(F.lit, probabilities))).alias(f"q{i}")
-            for i, v in enumerate(values.values())
-        ]
-    ).first()
+    row = df.agg(*[m.alias(f"q{i}") for i, m in enumerate(make)]).first()
+    none = [None] * len(probabilities)
     return {k: list(row[f"q{i}"] or none) for i, k in enumerate(values)}
 
 
@@ -114,111 +115,129 @@ def narrowed_quantiles(
     probabilities: Sequence[float],
     gather_rows: int = GATHER_ROWS,
 ) -> dict[str, list[float | None]]:
-    """Exact quantiles by repeated counting; see the module text."""
+    """Exact quantiles by counting; see the module text."""
     names = list(values)
-    frame = df.select(*[values[n].cast("double").alias(f"v{i}") for i, n in enumerate(names)])
-    column = {n: f"v{i}" for i, n in enumerate(names)}
-    counts = frame.agg(*[F.count(column[n]).alias(column[n]) for n in names]).first()
-
-    ranks: dict[tuple[str, int], _Rank] = {}
-    for name in names:
-        n = counts[column[name]]
-        for p in probabilities if n else []:
-            position = p * (n - 1)
-            for rank in {math.floor(position), math.ceil(position)}:
-                ranks[name, rank] = _Rank(column[name], rank, n, inside=n)
-    _find(frame, list(ranks.values()), gather_rows)
-
-    result = {}
-    for name in names:
-        n = counts[column[name]]
-        if not n:
-            result[name] = [None] * len(probabilities)
-            continue
-        row = []
+    short = {n: f"v{i}" for i, n in enumerate(names)}
+    frame = df.select(*[values[n].cast("double").alias(short[n]) for n in names])
+    counted = frame.agg(*[F.count(c).alias(c) for c in short.values()]).first()
+
+    searches: dict[str, _Search] = {}
+    for n in names:
+        rows = counted[short[n]]
+        wanted = {
+            rank
+            for p in probabilities
+            if rows
+            for rank in (math.floor(p * (rows - 1)), math.ceil(p * (rows - 1)))
+        }
+        searches[short[n]] = _Search(rows, wanted)
+
+    # A round adds at least one value inside each wide bracket to the pivots, so this ends.
+    while _round(frame, searches, gather_rows):
+        pass
+    _gather(frame, searches)
+
+    result: dict[str, list[float | None]] = {}
+    for n in names:
+        search = searches[short[n]]
+        result[n] = []
         for p in probabilities:
-            position = p * (n - 1)
-            low = ranks[name, math.floor(position)].found
-            high = ranks[name, math.ceil(position)].found
-            row.append(low + (high - low) * (position - math.floor(position)))
-        result[name] = row
+            if not search.rows:
+                result[n].append(None)
+                continue
+            position = p * (search.rows - 1)
+            low = search.found[math.floor(position)]
+            high = search.found[math.ceil(position)]
+            result[n].append(low + (high - low) * (position - math.floor(position)))
     return result
 
 
-def _find(frame: DataFrame, ranks: list[_Rank], gather_rows: int) -> None:
-    while True:
-        wide = [r for r in ranks if r.found is None and r.inside > gather_rows]
-        if not wide:
-            break
-        # Every round takes at least its pivots out of a bracket, so this ends.
-        margin = 2.0 / _ACCURACY
-        sketched = frame.agg(
-            *[
-                F.percentile_approx(
-                    F.when(r.bracket(F.col(r.column)), F.col(r.column)),
-                    [
-                        min(max((r.rank - r.before + 0.5) / r.inside + shift, 0.0), 1.0)
-                        for shift in (-margin, margin)
-                    ],
-                    _ACCURACY,
-                ).alias(f"p{i}")
-                for i, r in enumerate(wide)
-            ]
-        ).first()
-        tests = []
-        for i, r in enumerate(wide):
-            held = r.bracket(F.col(r.column))
-            for j, pivot in enumerate(sketched[f"p{i}"]):
-                tests += [
-                    F.count_if(held & (F.col(r.column) < pivot)).alias(f"l{i}_{j}"),
-                    F.count_if(held & (F.col(r.column) <= pivot)).alias(f"u{i}_{j}"),
-                ]
-        counted = frame.agg(*tests).first()
-        for i, r in enumerate(wide):
-            _narrow(r, sketched[f"p{i}"], [
-                (counted[f"l{i}_{j}"], counted[f"u{i}_{j}"]) for j in (0, 1)
-            ])
-    _gather(frame, [r for r in ranks if r.found is None])
-
-
-def _narrow(r: _Rank, pivots: Sequence[float], counted: Sequence[tuple[int, int]]) -> None:
-    # All counts refer to the bracket as it was, so the lower pivot only has a say if the
-    # upper one did not raise the bracket's floor.
-    low, high = pivots
-    r.settle(high, *counted[1])
-    if r.found is None and r.above != high:
-        r.settle(low, *counted[0])
-
-
-def _gather(frame: DataFrame, ranks: list[_Rank]) -> None:
-    """Sort what is left of each bracket: at most ``gather_rows`` distinct values."""
-    if not ranks:
+def _round(frame: DataFrame, searches: dict[str, _Search], gather_rows: int) -> bool:
+    """Sketch and count once for every bracket that holds many values."""
+    wide = [
+        (c, bounds, bracket)
+        for c, search in searches.items()
+        for bounds, bracket in search.open_brackets().items()
+        if bracket[1] > gather_rows
+    ]
+    if not wide:
+        return False
+    sketches = []
+    for i, (c, bounds, (before, inside, ranks)) in enumerate(wide):
+        accuracy = _FINE_ACCURACY if inside > _LARGE else _ACCURACY
+        aims = {
+            min(max((rank - before + 0.5) / inside + margin, 0.0), 1.0)
+            for rank in ranks
+            for margin in (-2.0 / accuracy, 2.0 / accuracy)
+        }
+        held = F.when(_within(F.col(c), *bounds), F.col(c))
+        sketches.append(F.percentile_approx(held, sorted(aims), accuracy).alias(f"p{i}"))
+    proposed = frame.agg(*sketches).first()
+
+    pivots: dict[str, list[float]] = {}
+    for i, (c, _, _) in enumerate(wide):
+        pivots[c] = sorted({*pivots.get(c, []), *proposed[f"p{i}"]})
+    # Slot 2k+1 holds the values equal to pivot k, slot 2k those between pivots k-1 and k.
+    slots = {}
+    for c, found in pivots.items():
+        slot = F.when(F.col(c).isNull(), None)
+        for k, pivot in enumerate(found):
+            slot = slot.when(F.col(c) < pivot, 2 * k).when(F.col(c) == pivot, 2 * k + 1)
+        slots[c] = slot.otherwise(2 * len(found)).cast("int")
+    sizes = melt(frame, slots, "slot").groupBy("column", "slot").agg(F.count(F.lit(1)).alias("n"))
+    by_slot = {(r.column, r.slot): r.n for r in sizes.collect()}
+    for c, found in pivots.items():
+        below, upto, total = [], [], 0
+        for k in range(len(found)):
+            total += by_slot.get((c, 2 * k), 0)
+            below.append(total)
+            total += by_slot.get((c, 2 * k + 1), 0)
+            upto.append(total)
+        searches[c].learn(found, below, upto)
+    return True
+
+
+def _gather(frame: DataFrame, searches: dict[str, _Search]) -> None:
+    """Sort the values left in each bracket: no more than the gather limit of each."""
+    brackets = [
+        (c, bounds, before, ranks)
+        for c, search in searches.items()
+        for bounds, (before, _, ranks) in search.open_brackets().items()
+    ]
+    if not brackets:
         return
-    left = frame.select(
-        F.explode(
-            F.filter(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(i).alias("i"),
-                            F.when(r.bracket(F.col(r.column)), F.col(r.column)).alias("v"),
-                        )
-                        for i, r in enumerate(ranks)
-                    ]
-                ),
-                lambda s: s["v"].isNotNull(),
-            )
-        ).alias("s")
+    cells: dict[str, Column] = {}
+    for c, bounds, _, _ in brackets:
+        held = _within(F.col(c), *bounds)
+        cells[c] = cells[c] | held if c in cells else held
+    cells = {c: F.when(held, F.col(c)) for c, held in cells.items()}
+    values = melt(frame, cells, "v").groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    number = F.coalesce(
+        *[
+            F.when((F.col("column") == c) & _within(F.col("v"), *bounds), F.lit(i))
+            for i, (c, bounds, _, _) in enumerate(brackets)
+        ]
     )
-    values = left.groupBy("s.i", "s.v").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("i").orderBy("v"))
+    upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("v"))
     offsets = F.element_at(
-        F.array(*[F.lit(r.rank - r.before).cast("bigint") for r in ranks]), F.col("i") + 1
+        F.array(
+            *[
+                F.array(*[F.lit(rank - before).cast("bigint") for rank in ranks])
+                for _, _, before, ranks in brackets
+            ]
+        ),
+        F.col("bracket") + 1,
     )
     hits = (
-        values.withColumn("upto", upto)
-        .filter((F.col("upto") > offsets) & (F.col("upto") - F.col("n") <= offsets))
-        .select("i", "v")
+        values.withColumn("bracket", number)
+        .withColumn("upto", upto)
+        .filter(
+            F.exists(offsets, lambda o: (F.col("upto") > o) & (F.col("upto") - F.col("n") <= o))
+        )
+        .select("bracket", "v", (F.col("upto") - F.col("n")).alias("start"), "upto")
     )
-    for row in hits.collect():
-        ranks[row.i].found = row.v
+    for hit in hits.collect():
+        c, _, before, ranks = brackets[hit.bracket]
+        for rank in ranks:
+            if hit.start <= rank - before < hit.upto:
+                searches[c].found[rank] = hit.v
