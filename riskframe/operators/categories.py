@@ -22,6 +22,7 @@ from riskframe.operators.columns import (
     require,
     text_of,
 )
+from riskframe.sources.scratch import materialize
 
 
 def value_counts(
@@ -71,7 +72,7 @@ def _top(counts: DataFrame, top: int, first_seen: bool) -> DataFrame:
 
 
 def _with_totals(counts: DataFrame, tops: DataFrame) -> DataFrame:
-    # One row per column; the counts behind both sides are the same shuffle.
+    # One row per column on the broadcast side.
     totals = counts.groupBy("column").agg(
         F.count(F.lit(1)).alias("categories"), F.sum("n").alias("rows")
     )
@@ -91,10 +92,11 @@ def category_counts(
     share of positives, and how many categories there are and are left out.
 
     Equal counts go by first position if ``order_by`` is given, else by value. ``counts``
-    are the columns' ``value_counts`` where they are at hand.
+    are the columns' ``value_counts`` where they are at hand; else they are written down
+    once, because the ranks and the totals both read them.
     """
     if counts is None:
-        counts = value_counts(df, columns, target, positive, order_by)
+        counts = materialize(value_counts(df, columns, target, positive, order_by), "counts")
     best = _with_totals(counts, _top(counts, top, bool(order_by)))
     rate = share(F.col("positives"), F.col("n")) if target else F.lit(None).cast("double")
     return best.select(
@@ -132,6 +134,7 @@ def most_common(
     if columns is None:
         columns = [f.name for f in df.schema if not is_number(f.dataType)]
     counts = value_counts(df, columns, order_by=order_by, keep_null=False)
+    counts = materialize(counts, "counts")
     return _with_totals(counts, _top(counts, 1, bool(order_by))).select(
         "column", "categories", "value", "n"
     )

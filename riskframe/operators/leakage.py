@@ -102,13 +102,7 @@ def majority_positive_categories(
     """
     if counts is None:
         counts = value_counts(df, columns, target, positive)
-    # The same for every column; taken from the first one's counts, which are there anyway.
-    first = F.col("column") == columns[0]
-    base = counts.agg(
-        F.try_divide(
-            F.sum(F.when(first, F.col("label_sum"))), F.sum(F.when(first, F.col("label_n")))
-        ).alias("base")
-    ).scalar()
+    base = df.agg(F.avg(label_value(df, target, positive)).alias("base")).scalar()
     rated = counts.filter(F.col("n") >= min_rows).select(
         "column", "value", "n",
         share(F.col("positives"), F.col("n")).alias("positive_rate"),

@@ -254,12 +254,13 @@ def class_counts(df: DataFrame, target: str) -> DataFrame:
     """Rows and share per label value in value order, null kept and last."""
     require(df, target)
     counts = df.groupBy(value_of(df, target).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return with_share(counts).orderBy(F.col("value").asc_nulls_last())
+    return with_share(counts, df).orderBy(F.col("value").asc_nulls_last())
 
 
-def with_share(counts: DataFrame) -> DataFrame:
-    """Add each row's share of the sum of ``n``, the sum being a scalar subquery."""
-    total = counts.agg(F.sum("n").alias("total")).scalar()
+def with_share(counts: DataFrame, df: DataFrame) -> DataFrame:
+    """Add each row's share of all rows of ``df``; that count is a scalar subquery which
+    reads no column."""
+    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
     return counts.withColumn("share", share(F.col("n"), total))
 
 

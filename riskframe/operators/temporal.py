@@ -31,7 +31,7 @@ def period_counts(
     )
     rate = share(F.col("hits"), F.col("n")) if target else F.lit(None).cast("double")
     return (
-        with_share(counts)
+        with_share(counts, df)
         .select(
             F.lit(column).alias("column"), "period", "n", "share", rate.alias("positive_rate")
         )

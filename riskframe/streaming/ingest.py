@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskframe.contract import READER_MISSING
+from riskframe.functions import instant
 from riskframe.operators.mappings import SourceMapping
 from riskframe.operators.validation import (
     event_time,
@@ -44,11 +45,14 @@ def first_within(valid: DataFrame, delay: str) -> DataFrame:
     State is kept no longer than that. Unlike the batch rule the first to arrive wins, and
     a record later than the watermark is left out, as in any watermarked stream.
     """
+    # A watermark wants an instant, so the wall clock is read in the session's zone.
+    at = instant(F.col("event_ts"), F.col("event_offset")).cast("timestamp")
     return (
         event_time(valid)
-        .withWatermark("event_ts", delay)
+        .withColumn("event_at", at)
+        .withWatermark("event_at", delay)
         .dropDuplicatesWithinWatermark(["transaction_id"])
-        .drop("event_ts", "event_offset")
+        .drop("event_ts", "event_offset", "event_at")
     )
 
 
