@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CHOSEN: dict[str, str] = {}
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+
+def use_scratch_dir(folder: str) -> None:
+    """The folder for sessions that set no ``spark.checkpoint.dir``; every executor must reach it."""
+    _CHOSEN["folder"] = folder.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; on a local master a temporary folder if unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    """The session's ``spark.checkpoint.dir``, else the folder of :func:`use_scratch_dir`."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _CHOSEN.get("folder")
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    session = spark.conf.get("spark.app.id", "")
-    if session not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[session] = tempfile.mkdtemp(prefix="riskframe-")
-    return _LOCAL_FOLDERS[session]
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
