@@ -1,11 +1,18 @@
-"""Corpus preparation in stages, each over all that the one before kept."""
+"""Corpus preparation in stages, each over all that the one before kept.
+
+Quality rules drop rejected documents, line dedup shortens texts, SimHash near-dedup keeps one
+document of each group, mixing drops or repeats documents, and the last stage adds their pieces.
+Each stage's result is written to the scratch folder and read again, so a lost executor costs no
+more than the tasks it ran. Rows with nulls, repeated rows, empty tables and extra columns fare
+as the operators' modules say.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import quality_rules
-from riskframe.llm.common import read
+from riskframe.llm import line_dedup, mixing, pieces, quality_rules, simhash
+from riskframe.llm.common import read, unpacked
 from riskframe.sources.scratch import materialize
 
 
@@ -13,7 +20,31 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return quality_rules.filter_quality(docs, quality_rules.trusted_ids(read(spark, folder, "labels")))
 
 
-STAGES = [("quality rules", quality)]
+def lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    kept = line_dedup.dedup(docs)
+    return unpacked(kept, docs.columns, text=kept["kept"])
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return simhash.dedup(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return pieces.encode(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("simhash near-dedup", near_copies),
+    ("mixing sources", mixed),
+    ("sentencepiece encoding", encoded),
+]
+#: SQL can't express likelihood ratios, fingerprints or best paths; tests/llm holds run() against plain Python.
 ORACLE_SQL = None
 
 

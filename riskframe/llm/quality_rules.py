@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import let, packed, unpacked, words
+from riskframe.llm.common import let, words
 
 #: Buckets of either kind of n-gram. The model is this many doubles twice, whatever the corpus.
 BUCKETS = 1 << 14
@@ -71,18 +71,14 @@ def shapes(text: Column) -> Column:
 
 def features(word_hashes: Column, shape_hashes: Column) -> Column:
     """Buckets of a text's n-grams: words below BUCKETS, pairs of shapes from there on."""
+    pair = lambda all_, h, i: F.pmod(F.xxhash64(F.get(all_, i - 1), h), F.lit(BUCKETS)) + BUCKETS
     of_words = F.transform(word_hashes, lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int"))
-    of_shapes = F.transform(
-        shape_hashes,
-        lambda h, i: (F.pmod(F.xxhash64(F.get(shape_hashes, i - 1), h), F.lit(BUCKETS)) + BUCKETS).cast("int"),
-    )
+    of_shapes = let(shape_hashes, lambda s: F.transform(s, lambda h, i: pair(s, h, i).cast("int")))
     return F.concat(of_words, of_shapes)
 
 
-def hashed(df: DataFrame, text: Column) -> DataFrame:
-    """Adds the words' and the shapes' hashes."""
-    hashes = lambda a: F.transform(a, lambda w: F.xxhash64(w))
-    return df.withColumns({"words": words(text), "shape_hashes": hashes(shapes(text))}).withColumn("word_hashes", hashes(F.col("words")))
+def hashes(found: Column) -> Column:
+    return F.transform(found, lambda w: F.xxhash64(w))
 
 
 def trusted_ids(labels: DataFrame, limit: int = TRUSTED) -> DataFrame:
@@ -99,7 +95,8 @@ def ratio_model(docs: DataFrame, trusted: DataFrame) -> list[float]:
     """
     rows = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
     rows = rows.join(F.broadcast(trusted.withColumn("good", F.lit(1))), F.col("id") == F.col("trusted_id"), "left")
-    grams = hashed(rows, F.col("body")).select("good", F.explode(features(F.col("word_hashes"), F.col("shape_hashes"))).alias("bucket"))
+    gram = features(hashes(words(F.col("body"))), hashes(shapes(F.col("body"))))
+    grams = rows.select("good", F.explode(gram).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("good").alias("good"))
     every = docs.sparkSession.range(2 * BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     full = every.join(counts, "bucket", "left").select(
@@ -123,31 +120,35 @@ def constant(weights: list[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
 
 
-def judged(rows: DataFrame, model: list[float], text: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """Adds the counts, ``score``, ``base_failed`` and ``kept`` to rows."""
-    hashed_rows = hashed(rows, text)
-    gram = features(F.col("word_hashes"), F.col("shape_hashes"))
-    mean = let(constant(model), lambda w: let(gram, lambda g: F.aggregate(g, F.lit(0.0), lambda a, f: a + w[f]) / F.size(g)))
-    counted = hashed_rows.withColumns(
-        {
-            "n_words": F.size("words").cast("long"),
-            "word_chars": F.length(F.array_join("words", "")).cast("long"),
-            **base_counts(text),
-            "n_repeat_words": repeated_words(F.col("word_hashes")),
-            "score": F.when(F.size("words") > 0, mean).otherwise(0.0),
-        }
-    ).drop("words", "word_hashes", "shape_hashes")
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return counted.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+def verdict(text: Column, model: list[float], threshold: float = THRESHOLD) -> Column:
+    """The counts, ``score``, ``base_failed`` and ``kept`` of a text as one struct.
+
+    Every array of words is bound once, whatever the optimizer makes of the expression.
+    """
+    weights = constant(model)
+
+    def with_words(w: Column, h: Column) -> Column:
+        grams = features(h, hashes(shapes(text)))
+        mean = let(weights, lambda v: let(grams, lambda g: F.aggregate(g, F.lit(0.0), lambda a, f: a + v[f]) / F.size(g)))
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            *(c.alias(name) for name, c in base_counts(text).items()), repeated_words(h).alias("n_repeat_words"),
+            F.when(F.size(w) > 0, mean).otherwise(0.0).alias("score"),
+        )
+
+    def with_counts(c: Column) -> Column:
+        failed = (c["n_words"] < 10) | (100 * c["n_repeat_words"] > 20 * c["n_words"])
+        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score")
+        return F.struct(*(c[n].alias(n) for n in names), failed.alias("base_failed"), (~failed & (c["score"] >= threshold)).alias("kept"))
+
+    return let(let(words(text), lambda w: let(hashes(w), lambda h: with_words(w, h))), with_counts)
 
 
 def quality_report(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: counts, score, base_failed, kept."""
-    rows = docs.select("doc_id", F.col("text").alias("body"))
-    return judged(rows, ratio_model(docs, trusted), F.col("body"), threshold).drop("body")
+    return docs.select("doc_id", verdict(F.col("text"), ratio_model(docs, trusted), threshold).alias("v")).select("doc_id", "v.*")
 
 
 def filter_quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that are kept, with all their columns."""
-    rows = judged(packed(docs), ratio_model(docs, trusted), F.col("row").getField("text"), threshold)
-    return unpacked(rows.where("kept"), docs.columns)
+    return docs.where(verdict(F.col("text"), ratio_model(docs, trusted), threshold)["kept"])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import quality_rules
+from riskframe.llm import line_dedup, mixing, pieces, quality_rules, simhash
 from riskframe.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,48 @@ def query(build):
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     trusted = quality_rules.trusted_ids(read(spark, folder, "labels"))
     return quality_rules.quality_report(read(spark, folder, "documents"), trusted)
+
+
+@query
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.dedup(read(spark, folder, "documents"))
+    return kept.select(F.col("row.doc_id"), "n_lines", "n_dropped", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLES["op5_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+keyed AS (
+  SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+often AS (
+  SELECT k, max(doc_id) AS newest FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+marked AS (
+  SELECT doc_id, i, line, often.k IS NOT NULL AND doc_id <> newest AS gone FROM keyed LEFT JOIN often ON keyed.k = often.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    groups = simhash.component_ids(read(spark, folder, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_report(read(spark, folder, "documents"))
+
+
+@query
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    coded = pieces.encode(read(spark, folder, "documents"))
+    back = pieces.decode(coded, "pieces", "decoded")
+    ids = F.concat_ws(",", F.transform("pieces", lambda x: x.cast("string")))
+    return back.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.size("pieces").cast("long").alias("n_pieces"),
+        F.sha2(ids, 256).alias("pieces_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text"),
+    )
