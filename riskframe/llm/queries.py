@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import line_dedup, mixing, pieces, quality_rules, simhash
+from riskframe.llm import line_dedup, mixing, pieces, quality_rules, simhash, topk
 from riskframe.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,23 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.size("pieces").cast("long").alias("n_pieces"),
         F.sha2(ids, 256).alias("pieces_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text"),
     )
+
+
+@query
+def op1_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(read(spark, folder, "embeddings"))
+
+
+ORACLES["op1_topk_search"] = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS vec FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+parts AS (SELECT vec_id, unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM v),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM parts q JOIN parts c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY 1, 2),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
