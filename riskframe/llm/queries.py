@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import line_dedup, mixing, pieces, quality_rules, simhash, topk
+from riskframe.llm import line_dedup, mixing, pieces, quality_rules, simhash, token_counts, topk
 from riskframe.llm.common import read
+from riskframe.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +89,9 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+@query
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    # A cache of its own for each call, so that every call encodes the whole table.
+    return token_counts.token_counts(read(spark, folder, "documents"), scratch_path(spark, "token-cache"))
