@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import line_dedup, mixing, pieces, quality_rules, simhash, token_counts, topk
+from riskframe.llm import language_id, line_dedup, mixing, pieces, quality_rules, simhash, token_counts, topk
 from riskframe.llm.common import read
 from riskframe.sources.scratch import scratch_path
 
@@ -95,3 +95,8 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     # A cache of its own for each call, so that every call encodes the whole table.
     return token_counts.token_counts(read(spark, folder, "documents"), scratch_path(spark, "token-cache"))
+
+
+@query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(read(spark, folder, "documents"))
