@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import language_id, line_dedup, mixing, pieces, quality_rules, simhash, token_counts, topk
+from riskframe.llm import language_id, line_dedup, mixing, pieces, quality_rules, secrets, simhash, token_counts, topk
 from riskframe.llm.common import read
 from riskframe.sources.scratch import scratch_path
 
@@ -100,3 +100,14 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(read(spark, folder, "documents"))
+
+
+@query
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(read(spark, folder, "documents"))
+    line = lambda c: F.concat_ws(",", F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))))
+    of = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", of("assign"), of("access"), of("hex"), F.sha2(line("base"), 256).alias("base_sha256"), line("spans").alias("spans"),
+        F.size(F.filter("spans", lambda x: x["kind"] == "random")).cast("long").alias("n_random"),
+    )
