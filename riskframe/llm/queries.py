@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import language_id, line_dedup, mixing, pieces, quality_rules, secrets, simhash, token_counts, topk
+from riskframe.llm import language_id, line_dedup, mixing, pieces, quality_rules, secrets, simhash, suffix_dedup, token_counts, topk
 from riskframe.llm.common import read
 from riskframe.sources.scratch import scratch_path
 
@@ -111,3 +111,9 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", of("assign"), of("access"), of("hex"), F.sha2(line("base"), 256).alias("base_sha256"), line("spans").alias("spans"),
         F.size(F.filter("spans", lambda x: x["kind"] == "random")).cast("long").alias("n_random"),
     )
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.dedup(read(spark, folder, "documents"))
+    return cut.select(F.col("row.doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
