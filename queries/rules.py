@@ -39,8 +39,8 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
     code = key % 40
     amount = (
         F.when(code == 0, F.concat(F.lit("- $"), money))
-        .when(code == 1, "12abc34")
-        .when(code == 2, "1,2,3")
+        .when(code == 1, "7x7")
+        .when(code == 2, "4,5,6")
         .when(code == 3, "  ")
         .when(code <= 10, F.concat(F.lit("$"), money))
         .when(code <= 20, F.concat(F.lit("€ "), money))
@@ -74,7 +74,7 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit(" tx-"), tx).alias("transaction_id"),
         F.when(key % 101 == 0, "n/a").otherwise(customer.cast("string")).alias("customer_id"),
         amount.alias("amount"),
-        F.when(key % 37 == 0, "dollars").when(key % 37 <= 10, " eur ").otherwise("usd").alias("currency"),
+        F.when(key % 37 == 0, "kroner").when(key % 37 <= 10, " eur ").otherwise("usd").alias("currency"),
         times.alias("timestamp"),
         F.when(key % 17 == 0, "-").otherwise(F.concat(F.lit("\tstore-"), customer % 50, F.lit(" "))).alias("location"),
         F.concat(F.lit("m"), customer % 90).alias("merchant_id"),
@@ -86,7 +86,7 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
         F.lpad((key % 3).cast("string"), 2, "0").alias("response_code"),
         F.lit("electronics").alias("merchant_category"),
         F.lit("CASH").alias("transaction_type"),
-        pick(key % 5, {0: "online banking", 1: " pos", 2: "Atm!", 3: "telegraph"}, "ONLINE_BANKING").alias("channel"),
+        pick(key % 5, {0: "online banking", 1: " pos", 2: "Atm!", 3: "pigeon"}, "ONLINE_BANKING").alias("channel"),
         F.lit("APPROVED").alias("transaction_status"),
         pick(key % 23, {0: "-1", 1: "soon", 2: "1.5", 3: "0"}, F.lit(None).cast("string")).alias("response_time_seconds"),
         pick(key % 11, {0: "1", 1: "No", 2: " TRUE ", 3: "maybe", 4: "f"}, F.lit(None).cast("string")).alias("is_fraud"),
@@ -281,7 +281,7 @@ def atm_mapping(spark, sf):
         "o_orderkey, transaction_id, customer_id, 'ONLINE_BANKING' AS channel, NULL AS location, "
         "merchant_id, NULL AS terminal_id, card_text AS card_last4, card_type, "
         "CASE o_orderkey % 5 WHEN 0 THEN 'online banking' WHEN 1 THEN 'pos' WHEN 2 THEN 'Atm!' "
-        "WHEN 3 THEN 'telegraph' ELSE 'ONLINE_BANKING' END AS payment_method, "
+        "WHEN 3 THEN 'pigeon' ELSE 'ONLINE_BANKING' END AS payment_method, "
         "NULL AS authorization_code, 'APPROVED' AS response_code, amount"
     ),
 )
@@ -436,7 +436,7 @@ def strict_fields(spark, sf):
     )
 
 
-@query("v06_currency", judged("o_orderkey, 'dollars' AS value", "field = 'currency'"))
+@query("v06_currency", judged("o_orderkey, 'kroner' AS value", "field = 'currency'"))
 def bad_currency(spark, sf):
     return rejects(spark, sf, "currency")
 
@@ -444,7 +444,7 @@ def bad_currency(spark, sf):
 @query(
     "v07_amount_number",
     judged(
-        "o_orderkey, CASE o_orderkey % 40 WHEN 1 THEN '12abc34' ELSE '1,2,3' END AS value",
+        "o_orderkey, CASE o_orderkey % 40 WHEN 1 THEN '7x7' ELSE '4,5,6' END AS value",
         "field = 'amount' AND amount IS NULL",
     ),
 )
@@ -458,7 +458,7 @@ def negative_amount(spark, sf):
     return found.filter("amount < 0")
 
 
-@query("v09_channel", judged("o_orderkey, 'telegraph' AS value", "field = 'channel'"))
+@query("v09_channel", judged("o_orderkey, 'pigeon' AS value", "field = 'channel'"))
 def bad_channel(spark, sf):
     return rejects(spark, sf, "channel")
 

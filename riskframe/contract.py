@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import product
-
 from pyspark.sql import types as T
 
 # --- fixed values: the canonical transaction, in contract order -------------
@@ -50,12 +48,6 @@ ONLINE_COLUMNS = (
 # --- fixed values: cell texts -----------------------------------------------
 # Empty-cell markers, compared after stripping and lower-casing.
 MISSING_TEXT = ("", "nan", "nat", "none", "null", "na", "n/a", "-")
-# The same in every mix of upper and lower case, so that no cell has to be lower-cased.
-MISSING_SPELLINGS = tuple(
-    "".join(letters)
-    for word in MISSING_TEXT
-    for letters in product(*[sorted({c.lower(), c.upper()}) for c in word])
-)
 # Cells a CSV reader turns into nulls, compared as they stand.
 READER_MISSING = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -77,14 +69,13 @@ TARGET = "fraud_bool"
 MAX_CATEGORIES = 20
 MAX_PERIODS = 60
 TYPING_ROWS = 5000
-PERIOD_WORDS = frozenset(
-    "month months date dates day days year years period periods time times timestamp".split()
+PERIOD_WORDS = (
+    "month", "months", "date", "dates", "day", "days", "year", "years", "period", "periods",
+    "time", "times", "timestamp",
 )
-NOT_PERIOD_WORDS = frozenset("count counts amount amounts".split())
+NOT_PERIOD_WORDS = ("count", "counts", "amount", "amounts")
 HIGH_CORRELATION = 0.9
 LEAKY_MIN_ROWS = 30
 LEAKY_MIN_RATE = 0.3
 LEAKY_MIN_LIFT = 5.0
 PERIOD_JUMP = 4.0
-HEAD_FINGERPRINT_ROWS = 200
-HEAD_FINGERPRINT_NULL = -999999.0

@@ -9,12 +9,15 @@ from pyspark.sql import types as T
 from riskframe.contract import (
     CHANNELS,
     FALSE_TEXT,
-    MISSING_SPELLINGS,
+    MISSING_TEXT,
     TRUE_TEXT,
     WHITESPACE,
 )
 
 
+_LONGEST_MARKER = max(map(len, MISSING_TEXT))
+
+
 def strip(c: Column) -> Column:
     """Drop white space of any kind from both ends (plain ``trim`` only drops spaces)."""
     return F.trim(c, F.lit(WHITESPACE))
@@ -40,10 +43,10 @@ def _clean(c: Column) -> Column:
     # is the costly part.
     first, last = F.substring(c, 1, 1), F.substring(c, -1, 1)
     visible = first.between("!", "~") & last.between("!", "~")
-    stripped = strip(c)
-    return F.when(visible, F.when(~c.isin(*MISSING_SPELLINGS), c)).otherwise(
-        F.when(~stripped.isin(*MISSING_SPELLINGS), stripped)
-    )
+    text = F.when(visible, c).otherwise(strip(c))
+    # Only short texts are lower-cased.
+    missing = (F.length(text) <= _LONGEST_MARKER) & F.lower(text).isin(*MISSING_TEXT)
+    return F.when(~missing, text)
 
 
 def clean_text(c: Column, dtype: T.DataType | None = None) -> Column:

@@ -49,13 +49,21 @@ def number_of(df: DataFrame, name: str) -> Column:
 
 def is_positive(df: DataFrame, target: str, positive=1) -> Column:
     """True on rows of the positive class; false, not null, where the label is missing."""
-    return F.coalesce(value_of(df, target) == F.lit(positive), F.lit(False))
+    return F.coalesce(value_of(df, target) == _label(df, target, positive), F.lit(False))
+
+
+def _label(df: DataFrame, target: str, positive) -> Column:
+    """The positive class in the label column's own type."""
+    dtype = df.schema[target].dataType
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(positive.lower() == "true" if isinstance(positive, str) else bool(positive))
+    return F.lit(str(positive)) if isinstance(dtype, T.StringType) else F.lit(positive)
 
 
 def label_value(df: DataFrame, target: str, positive=1) -> Column:
-    """The label as a number, null where missing. A text label counts 1 for ``positive``."""
-    if isinstance(df.schema[target].dataType, T.StringType):
-        return (cell(target) == F.lit(positive)).cast("double")
+    """The label as a number, null where missing. A text or boolean label counts 1 for ``positive``."""
+    if isinstance(df.schema[target].dataType, (T.StringType, T.BooleanType)):
+        return (cell(target) == _label(df, target, positive)).cast("double")
     return number_of(df, target)
 
 
@@ -76,10 +84,17 @@ def melt(
     dozen columns on, and then run many times slower.
     """
     keep = keep or {}
+    taken = {n.lower() for n in cells}
+    own = {}
+    for k in keep:
+        own[k] = k
+        while own[k].lower() in taken:
+            own[k] += "_"
     wide = df.select(
-        *[c.alias(k) for k, c in keep.items()], *[c.alias(n) for n, c in cells.items()]
+        *[c.alias(own[k]) for k, c in keep.items()], *[c.alias(n) for n, c in cells.items()]
     )
-    long = wide.unpivot([F.col(k) for k in keep], [cell(n) for n in cells], "column", name)
+    long = wide.unpivot([F.col(o) for o in own.values()], [cell(n) for n in cells], "column", name)
+    long = long.toDF(*keep, "column", name)
     return long.filter(F.col(name).isNotNull())
 
 

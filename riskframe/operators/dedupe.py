@@ -6,27 +6,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from riskframe.operators.columns import cell
 
 
 def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     """One row per key, the first in ``order_by`` order.
 
-    An aggregate instead of a window: each task first reduces its own rows to one per key,
-    so a key that holds a third of all rows reaches the shuffle as one row per task.
+    The limit right above the rank lets each task keep its own first row per key before the
+    shuffle, so a key that holds a third of all rows reaches it as one row per task.
     ``dropDuplicates`` would pick an arbitrary row.
     """
-    order = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
-    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    return df.groupBy(F.col(key).alias("__key")).agg(F.min_by(whole, order).alias("__row")).select(
-        "__row.*"
-    )
+    nth = F.row_number().over(Window.partitionBy(cell(key)).orderBy(*map(cell, order_by)))
+    return df.withColumn("__nth", nth).filter("__nth = 1").drop("__nth")
 
 
 def duplicate_counts(df: DataFrame, key: str, order_by: Sequence[str], by: str) -> DataFrame:
     """Rows dropped by ``first_per_key`` per value of ``by``: rows before minus rows kept."""
-    before = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    kept = first_per_key(df.select(key, by, *[c for c in order_by if c not in (key, by)]), key, order_by)
-    after = kept.groupBy(by).agg(F.count(F.lit(1)).alias("kept"))
-    return before.join(after, by, "left").select(
-        by, "n", (F.col("n") - F.coalesce("kept", F.lit(0))).alias("duplicates_removed")
+    order = F.struct(*map(cell, order_by)) if len(order_by) > 1 else cell(order_by[0])
+    named = F.struct(order.alias("at"), cell(by).alias("by"))
+    before = df.groupBy(cell(by).alias("by")).agg(F.count(F.lit(1)).alias("n"))
+    kept = df.groupBy(cell(key).alias("key")).agg(F.min(named).alias("first"))
+    after = kept.groupBy(F.col("first.by").alias("kept_by")).agg(F.count(F.lit(1)).alias("kept"))
+    joined = before.join(after, F.col("by").eqNullSafe(F.col("kept_by")), "left")
+    return joined.select(
+        F.col("by").alias(by), "n", (F.col("n") - F.coalesce("kept", F.lit(0))).alias("duplicates_removed")
     )

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.contract import (
-    HEAD_FINGERPRINT_NULL,
     HIGH_CORRELATION,
     LEAKY_MIN_LIFT,
     LEAKY_MIN_RATE,
@@ -29,11 +28,8 @@ from riskframe.operators.columns import (
 from riskframe.operators.profile import presence
 from riskframe.operators.roles import period_columns, split_columns
 from riskframe.operators.temporal import period_shifts
-from riskframe.sources.files import head
 from riskframe.sources.scratch import materialize
 
-_ROW = "__row_number"
-
 
 def _pearson(x: Column, y: Column) -> Column:
     # ``corr`` would raise a division by zero on a constant under ANSI rules; here it has no
@@ -41,17 +37,6 @@ def _pearson(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def _fingerprint(x: Column) -> Column:
-    # The row's own number goes into the hash, so equal values in other rows differ; the
-    # exclusive or needs no row order and one long per column.
-    return F.bit_xor(F.xxhash64(F.col(_ROW), x + F.lit(0.0)))
-
-
-def _numbered(df: DataFrame) -> DataFrame:
-    # Any number will do that no other row of the same scan has.
-    return df.withColumn(_ROW, F.monotonically_increasing_id())
-
-
 def constant_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns among the given ones with a single value, null counted as one."""
     require(df, *columns)
@@ -116,34 +101,24 @@ def majority_positive_categories(
     )
 
 
-def near_duplicates(
-    df: DataFrame,
-    columns: Sequence[str],
-    first_rows: int | None = None,
-    order_by: Sequence[str] = (),
-) -> DataFrame:
+def near_duplicates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Numeric columns equal to an earlier one: ``(column, duplicate_of)``.
 
-    Over all rows by default: one scan fingerprints every column and a second confirms the
-    columns that share a fingerprint value by value. ``first_rows`` looks at the head of
-    the data only, with a missing value equal to a fixed number.
+    One scan fingerprints every column over all its rows and a second confirms, value by value,
+    the columns that share a fingerprint.
     """
     require(df, *columns)
-    values = df
-    fill = None
-    if first_rows is not None:
-        values = head(df.select(*{*columns, *order_by}), first_rows, order_by)
-        fill = HEAD_FINGERPRINT_NULL
-    number = {
-        c: number_of(df, c) if fill is None else F.coalesce(number_of(df, c), F.lit(fill))
-        for c in columns
-    }
-    prints = {}
+    number = {c: number_of(df, c) for c in columns}
+    # A column without values has the fingerprint of no cells.
+    prints = dict.fromkeys(columns, 0)
     if columns:
-        marks = [_fingerprint(x).alias(f"f{i}") for i, x in enumerate(number.values())]
-        row = _numbered(values).agg(*marks).first()
-        prints = {c: row[f"f{i}"] for i, c in enumerate(columns)}
-    pairs = confirmed_duplicates(values, number, prints)
+        # Any number will do that no other row of the same scan has.
+        cells = melt(df, number, "x", {"row": F.monotonically_increasing_id()})
+        # The row's own number goes into the hash, so equal values in other rows differ; the
+        # exclusive or needs no row order and one long per column.
+        marks = cells.groupBy("column").agg(F.bit_xor(F.xxhash64("row", F.col("x") + F.lit(0.0))).alias("mark"))
+        prints.update({r["column"]: r["mark"] for r in marks.collect()})
+    pairs = confirmed_duplicates(df, number, prints)
     return df.sparkSession.createDataFrame(pairs, "column string, duplicate_of string")
 
 
@@ -192,22 +167,22 @@ def leakage_findings(
     min_rate: float = LEAKY_MIN_RATE,
     min_lift: float = LEAKY_MIN_LIFT,
     jump: float = PERIOD_JUMP,
-    first_rows: int | None = None,
-    order_by: Sequence[str] = (),
     counts: DataFrame | None = None,
+    roles: tuple[Sequence[str], Sequence[str]] | None = None,
+    periods: Sequence[str] | None = None,
+    constants: DataFrame | None = None,
 ) -> DataFrame:
     """All checks in one tidy table; a single row ``none`` says that nothing was found.
 
-    Constants, correlations and fingerprints come from one scan whose single result row is
-written down; the findings are written down as well, so that reading them, and asking
-    whether there are any, runs nothing twice.
+    Roles, periods, category counts and constants are taken where they are at hand. The findings
+    are written down, so that reading them, and asking whether there are any, runs nothing twice.
     """
     require(df, target)
-    categorical, continuous = split_columns(df, [target], max_categories)
-    periods = period_columns(df, max_periods)[:1]
+    categorical, continuous = roles or split_columns(df, [target], max_categories)
+    periods = list(period_columns(df, max_periods) if periods is None else periods)[:1]
 
     features = [*categorical, *continuous]
-    constant = constant_features(df, features)
+    constant = constant_features(df, features) if constants is None else constants
     r = label_correlations(df, continuous, target, positive)
     findings = [
         _tidy("constant", constant, "one value only, no signal"),
@@ -228,12 +203,12 @@ written down; the findings are written down as well, so that reading them, and a
                 "positive_rate",
             )
         )
-    copies = near_duplicates(df, continuous, first_rows, order_by)
+    copies = near_duplicates(df, continuous)
     findings.append(
         _tidy("duplicate", copies, "same values as another column", "duplicate_of", None)
     )
     for name in periods:
-        shifts = period_shifts(df, name, target, positive, jump, checked=True)
+        shifts = period_shifts(df, name, target, positive, jump)
         findings.append(
             _tidy(
                 "period_shift", shifts, "label rate jumps from the period before", "period", "n",

@@ -31,14 +31,12 @@ class SourceMapping:
     transform: Callable[[DataFrame], DataFrame]
 
     def missing_columns(self, columns: Iterable[str]) -> list[str]:
-        """Required columns absent from a header (names compared stripped)."""
-        present = {str(c).strip() for c in columns}
-        return [c for c in self.required if c not in present]
+        """What a header lacks, in the layout's order. Readers strip header names."""
+        return sorted(set(self.required) - {c.strip() for c in columns}, key=self.required.index)
 
     def require_columns(self, columns: Iterable[str]) -> None:
-        missing = self.missing_columns(columns)
-        if missing:
-            raise ValueError(f"{self.name}: missing required column(s): {', '.join(missing)}")
+        if lacking := self.missing_columns(columns):
+            raise ValueError(f"a {self.name} file needs {', '.join(lacking)}, which its header lacks")
 
     def apply(
         self, df: DataFrame, include_raw: bool = False, clean: bool = True

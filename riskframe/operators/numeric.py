@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -17,7 +17,7 @@ from riskframe.operators.columns import (
     number_of,
     require,
 )
-from riskframe.operators.quantiles import DIRECT_CELLS, quantiles
+from riskframe.operators.quantiles import quantiles
 
 _SUMMARY = (
     "column", "n", "mean", "median", "std", "min", "max", "p5", "p25", "p75", "p95", "zeros",
@@ -27,6 +27,7 @@ _COMPARED = (
     "column", "pos_n", "pos_mean", "pos_median", "neg_n", "neg_mean", "neg_median", "comparable",
 )
 _OUTLIERS = ("column", "q1", "q3", "lower", "upper", "n", "outliers", "share")
+SPREAD = (0.05, 0.25, 0.5, 0.75, 0.95)
 _EXTREMES = "column string, value double, distance double, rank int"
 
 
@@ -39,17 +40,18 @@ def _known(values: Mapping[str, float | None]) -> list[Column]:
 
 
 def numeric_summary(
-    df: DataFrame, columns: Sequence[str], approx: bool = False, direct_cells: int = DIRECT_CELLS
+    df: DataFrame, columns: Sequence[str], approx: bool = False, spread: Mapping[str, list] | None = None
 ) -> DataFrame:
     """Count, mean, median, std, range, percentiles, zeros and -1 of the non-null values.
 
-    Shares are of the non-null count. Percentiles are exact unless ``approx``.
+    Shares are of the non-null count. Percentiles are exact unless ``approx``; ``spread`` are those of
+    ``SPREAD`` where they are at hand.
     """
     require(df, *columns)
     if not columns:
         return empty_frame(df, _schema(_SUMMARY, column="string", n="bigint", zeros="bigint", neg_ones="bigint"))
     cells = {c: number_of(df, c) for c in columns}
-    spread = quantiles(df, cells, (0.05, 0.25, 0.5, 0.75, 0.95), direct_cells, approx)
+    spread = quantiles(df, cells, SPREAD, approx) if spread is None else spread
     x = F.col("x")
     stats = (
         melt(df, cells, "x")
@@ -94,7 +96,6 @@ def label_by_numeric(
     columns: Sequence[str],
     target: str,
     positive=1,
-    direct_cells: int = DIRECT_CELLS,
 ) -> DataFrame:
     """Mean and median on positive rows and on all others (a missing label is among those).
 
@@ -108,7 +109,7 @@ def label_by_numeric(
     cells = {c: number_of(df, c) for c in columns}
     sides = {f"pos {c}": F.when(pos, x) for c, x in cells.items()}
     sides |= {f"neg {c}": F.when(~pos, x) for c, x in cells.items()}
-    middle = quantiles(df, sides, (0.5,), direct_cells)
+    middle = quantiles(df, sides, (0.5,))
     stats = (
         melt(df, cells, "x", {"pos": pos})
         .groupBy("column")
@@ -136,11 +137,11 @@ def label_by_numeric(
 
 
 def quartiles(
-    df: DataFrame, columns: Sequence[str], direct_cells: int = DIRECT_CELLS
+    df: DataFrame, columns: Sequence[str]
 ) -> dict[str, list[float | None]]:
     """First quartile, median and third quartile per column, on the driver."""
     require(df, *columns)
-    return quantiles(df, {c: number_of(df, c) for c in columns}, (0.25, 0.5, 0.75), direct_cells)
+    return quantiles(df, {c: number_of(df, c) for c in columns}, (0.25, 0.5, 0.75))
 
 
 def _fences(quartile: Mapping[str, list[float | None]], k: float) -> dict[str, tuple]:

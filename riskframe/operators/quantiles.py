@@ -5,10 +5,8 @@ close to each rank (pivots); one scan counts how many values lie below and at ev
 each rank is then known to be a pivot or to lie between two of them. Ranks that still have
 many values between their pivots go another round; the few values around the others are
 gathered and sorted. Only sketches, counts and gathered values are shuffled, never the data,
-and the counts make the outcome exact whatever the error of the sketch.
-
-For a small number of cells, checked, Spark's ``percentile`` does it in one job: it keeps
-every value of a column in one buffer.
+and the counts make the outcome exact whatever the error of the sketch. Every size of data
+takes this one path, so the same rows have the same quantiles however many others there are.
 """
 
 from __future__ import annotations
@@ -24,7 +22,6 @@ from pyspark.sql.window import Window
 
 from riskframe.operators.columns import melt
 
-DIRECT_CELLS = 100_000
 GATHER_ROWS = 200_000
 # The sketch is finer where a round costs more than a larger sketch.
 _LARGE = 100_000_000
@@ -78,16 +75,10 @@ def _within(value: Column, above: float | None, below: float | None) -> Column:
     return held
 
 
-def direct_ok(df: DataFrame, values: Mapping[str, Column], direct_cells: int) -> bool:
-    """Whether the values fit one aggregation buffer each. A row count is free on Parquet."""
-    return direct_cells > 0 and df.count() * max(len(values), 1) <= direct_cells
-
-
 def quantiles(
     df: DataFrame,
     values: Mapping[str, Column],
     probabilities: Sequence[float],
-    direct_cells: int = DIRECT_CELLS,
     approximate: bool = False,
 ) -> dict[str, list[float | None]]:
     """Quantiles of named double expressions, null for one without values.
@@ -97,18 +88,20 @@ def quantiles(
     if not values:
         return {}
     probabilities = list(probabilities)
-    if approximate:
-        make = [F.percentile_approx(v, probabilities, _FINE_ACCURACY) for v in values.values()]
-    elif direct_ok(df, values, direct_cells):
-        wanted = F.array(*map(F.lit, probabilities))
-        make = [F.percentile(v, wanted) for v in values.values()]
-    else:
+    if not approximate:
         return narrowed_quantiles(df, values, probabilities)
+    make = [F.percentile_approx(v, probabilities, _FINE_ACCURACY) for v in values.values()]
     row = df.agg(*[m.alias(f"q{i}") for i, m in enumerate(make)]).first()
     none = [None] * len(probabilities)
     return {k: list(row[f"q{i}"] or none) for i, k in enumerate(values)}
 
 
+def between(low: float, high: float, part: float) -> float:
+    """The value a ``part`` of the way from low to high; no arithmetic where they are one value,
+    as infinities would not survive it."""
+    return low if part == 0 or low == high else (1 - part) * low + part * high
+
+
 def narrowed_quantiles(
     df: DataFrame,
     values: Mapping[str, Column],
@@ -148,7 +141,7 @@ def narrowed_quantiles(
             position = p * (search.rows - 1)
             low = search.found[math.floor(position)]
             high = search.found[math.ceil(position)]
-            result[n].append(low + (high - low) * (position - math.floor(position)))
+            result[n].append(between(low, high, position - math.floor(position)))
     return result
 
 

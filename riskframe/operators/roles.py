@@ -55,14 +55,16 @@ def split_columns(
     return categorical, continuous
 
 
+def _has_word(words: Sequence[str]) -> re.Pattern:
+    return re.compile(rf"(?<![a-z0-9])(?:{'|'.join(words)})(?![a-z0-9])", re.IGNORECASE | re.ASCII)
+
+
+_PERIOD, _NO_PERIOD = _has_word(PERIOD_WORDS), _has_word(NOT_PERIOD_WORDS)
+
+
 def named_like_periods(columns: Iterable[str]) -> list[str]:
     """Columns whose name has a period word and no word for a count or an amount."""
-    chosen = []
-    for name in columns:
-        words = set(re.split("[^a-z0-9]+", name.lower()))
-        if words & PERIOD_WORDS and not words & NOT_PERIOD_WORDS:
-            chosen.append(name)
-    return chosen
+    return [c for c in columns if _PERIOD.search(c) and not _NO_PERIOD.search(c)]
 
 
 def period_columns(

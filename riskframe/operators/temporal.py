@@ -12,8 +12,7 @@ from riskframe.contract import PERIOD_JUMP
 from riskframe.functions import share
 from riskframe.operators.columns import is_positive, label_value, require, value_of
 from riskframe.operators.profile import with_share
-
-MAX_SERIES = 1_000_000
+from riskframe.sources.scratch import materialize
 
 
 def period_counts(
@@ -46,7 +45,7 @@ def row_order(df: DataFrame, column: str, order_by: Sequence[str]) -> DataFrame:
     Rows are sorted by a column exactly if the stretches of positions its values occupy
     follow each other, so the rows collapse to one stretch per distinct value before any
     shuffle. The stretches are compared within ranges of values, and the ranges, one row
-    each, with their neighbours.
+    each, with their neighbours. Rows at one position may stand in either order.
     """
     require(df, column)
     position = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
@@ -55,15 +54,12 @@ def row_order(df: DataFrame, column: str, order_by: Sequence[str]) -> DataFrame:
         .groupBy("value")
         .agg(F.min("at").alias("first"), F.max("at").alias("last"))
     )
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = stretches.repartitionByRange(ranges, "value").withColumn(
-        "range", F.spark_partition_id()
-    )
+    ranged = stretches.repartitionByRange("value").withColumn("range", F.spark_partition_id())
     inside = Window.partitionBy("range").orderBy("value")
     before_first, before_last = F.lag("first").over(inside), F.lag("last").over(inside)
     ends = (
-        ranged.withColumn("up", F.coalesce(before_last < F.col("first"), F.lit(True)))
-        .withColumn("down", F.coalesce(before_first > F.col("last"), F.lit(True)))
+        ranged.withColumn("up", F.coalesce(before_last <= F.col("first"), F.lit(True)))
+        .withColumn("down", F.coalesce(before_first >= F.col("last"), F.lit(True)))
         .groupBy("range")
         .agg(
             F.bool_or(F.col("value").isNull()).alias("gap"),
@@ -78,10 +74,10 @@ def row_order(df: DataFrame, column: str, order_by: Sequence[str]) -> DataFrame:
     )
     across = Window.orderBy("low")
     joined = ends.withColumn(
-        "up", F.col("up") & F.coalesce(F.lag("high_last").over(across) < F.col("low_first"), F.lit(True))
+        "up", F.col("up") & F.coalesce(F.lag("high_last").over(across) <= F.col("low_first"), F.lit(True))
     ).withColumn(
         "down",
-        F.col("down") & F.coalesce(F.lag("high_first").over(across) > F.col("low_last"), F.lit(True)),
+        F.col("down") & F.coalesce(F.lag("high_first").over(across) >= F.col("low_last"), F.lit(True)),
     )
     verdict = joined.agg(
         F.bool_or("gap").alias("gap"), F.bool_and("up").alias("up"), F.bool_and("down").alias("down")
@@ -111,25 +107,26 @@ def period_shifts(
     positive=1,
     threshold: float = PERIOD_JUMP,
     min_drop: float | None = None,
-    checked: bool = False,
 ) -> DataFrame:
     """Periods whose mean label changed by more than ``threshold`` times the previous one.
 
     A period without labels keeps the last known rate; a rise from zero is an infinite
     change. A drop is at most one, so it is only reported with ``min_drop``, the share of
-    the previous rate it must lose. The series is one row per period and is walked in one
-    task, so a column that holds no periods is refused; ``checked`` says it was looked at.
+    the previous rate it must lose. The series is sorted into ranges of periods; each range is
+    walked by itself and starts from the last rate known in the ranges before it.
     """
-    if not checked:
-        guess = df.agg(F.approx_count_distinct(value_of(df, column))).first()[0]
-        if guess > MAX_SERIES:
-            raise ValueError(f"{column} has about {guess} values: not a period column")
-    in_time = Window.orderBy(F.col("period").asc_nulls_last())
-    upto = in_time.rowsBetween(Window.unboundedPreceding, 0)
-    series = period_rates(df, column, target, positive).withColumn(
-        "known", F.last("rate", ignorenulls=True).over(upto)
-    )
-    series = series.withColumn("previous_rate", F.lag("known").over(in_time))
+    in_time = F.col("period").asc_nulls_last()
+    rates = period_rates(df, column, target, positive).repartitionByRange(in_time)
+    ranged = materialize(rates.withColumn("range", F.spark_partition_id()), "period-rates")
+    inside = Window.partitionBy("range").orderBy(in_time)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    known = F.last("rate", ignorenulls=True)
+    # One row per range.
+    ends = ranged.groupBy("range").agg(F.max_by("rate", F.when(F.col("rate").isNotNull(), F.struct(F.col("period").isNull(), "period"))).alias("end"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("range", F.last("end", ignorenulls=True).over(earlier).alias("carried"))
+    series = ranged.join(F.broadcast(ends), "range").withColumn("known", F.coalesce(known.over(upto), "carried"))
+    series = series.withColumn("previous_rate", F.coalesce(F.lag("known").over(inside), "carried"))
     now, then = F.col("known"), F.col("previous_rate")
     change = F.when((then == 0) & (now > 0), F.lit(float("inf"))).otherwise(
         F.try_divide(now, then) - 1

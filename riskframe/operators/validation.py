@@ -8,21 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.contract import CANONICAL_FIELDS, CHANNELS, REQUIRED_FIELDS
+from riskframe.contract import CANONICAL_FIELDS, CANONICAL_SCHEMA, CHANNELS, REQUIRED_FIELDS
 from riskframe.functions import clean_text, iso_text, parse_bool, parse_number, share
 from riskframe.functions.text import channel_form, currency_form, four_digits
 from riskframe.functions.times import offset_text, parse_timestamp, timestamp_offset, wall_clock
 
 RECORD = "<record>"
 REJECT_TYPE = "struct<error_class:string,field:string,value:string,message:string>"
-_TEXT_FIELDS = (
-    "location", "merchant_id", "terminal_id", "card_type", "payment_method",
-    "authorization_code", "response_code",
-)
-
-
-_CLEANED = (
-    "transaction_id", "customer_id", "channel", "amount", "currency", "timestamp", "card_last4",
+# Fields with a rule of their own are cleaned by it; other texts are only cleaned.
+_CLEANED = (*REQUIRED_FIELDS, "card_last4")
+_TEXT_FIELDS = tuple(
+    f.name for f in CANONICAL_SCHEMA if isinstance(f.dataType, T.StringType) and f.name not in _CLEANED
 )
 
 

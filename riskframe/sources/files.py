@@ -17,6 +17,7 @@ from riskframe.sources.scratch import materialize
 ORDINAL = "row_ordinal"
 _REAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 _INFINITE = r"(?i)^[+-]?inf(inity)?\z"
+_LINE = "__line"
 _INTEGER = r"^[+-]?[0-9]+\z"
 
 
@@ -84,6 +85,8 @@ def read_text_csv(
     path: str | Sequence[str],
     multiline: bool = False,
     with_ordinal: bool = False,
+    surplus: str | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Every column as text, so leading zeros survive; reader-level missing cells are null.
 
@@ -91,17 +94,29 @@ def read_text_csv(
     against the first, so reordered columns are an error and never read under a wrong name.
     ``multiline`` allows line breaks inside quotes but makes files unsplittable.
     ``with_ordinal`` adds ``row_ordinal``, a struct that orders rows by file and position.
+    A row with more cells than the header is an error when it is read; with ``surplus`` its line is
+    given in a column of that name instead, null for other rows. Missing cells are null.
     """
     names = _raw_header(spark, path)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _LINE]])
     raw = spark.read.csv(
         _paths(path), schema=schema, header=True, quote='"', escape='"',
         nullValue="", emptyValue="", enforceSchema=False, multiLine=multiline,
+        columnNameOfCorruptRecord=_LINE,
     )
+    # The line is there for rows with too few or too many cells; commas outside quotes tell which.
+    commas = F.regexp_count(F.regexp_replace(_LINE, '"[^"]*"', ""), F.lit(","))
+    over = F.when(commas >= len(names), F.col(_LINE))
+    wanted = [n for n in names if columns is None or n.strip() in columns]
     cells = [
         F.when(~F.col(_quoted(n)).isin(*READER_MISSING), F.col(_quoted(n))).alias(n.strip())
-        for n in names
+        for n in wanted
     ]
+    if surplus is not None:
+        cells.append(over.alias(surplus))
+    elif wanted:
+        error = F.raise_error(F.concat(F.lit("more cells than the header: "), over)).cast("string")
+        cells[0] = F.when(over.isNotNull(), error).otherwise(cells[0]).alias(wanted[0].strip())
     if with_ordinal:
         cells.append(file_ordinal().alias(ORDINAL))
     return raw.select(*cells)
@@ -181,7 +196,7 @@ def read_typed_csv(
 
     Types are inferred over the chosen columns unless given.
     """
-    text = read_text_csv(spark, path, multiline)
+    text = read_text_csv(spark, path, multiline, columns=columns)
     if columns is not None:
         unknown = [c for c in columns if c not in text.columns]
         if unknown:
@@ -212,10 +227,8 @@ def with_row_index(df: DataFrame, order_by: Sequence[str], name: str = "index")
     Rows are range-partitioned and written once; each range's size then gives the offset of
     the next. The offsets are one row per range, so that join is a bounded broadcast.
     """
-    spark = df.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = materialize(
-        df.repartitionByRange(ranges, *order_by).withColumn("__range", F.spark_partition_id()),
+        df.repartitionByRange(*order_by).withColumn("__range", F.spark_partition_id()),
         "ranged",
     )
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)

@@ -30,7 +30,7 @@ def detect_mapping(
     named = [k for k in keys if k in words] if match == "token" else []
     for key in named or [k for k in keys if k in stem]:
         return key
-    raise ValueError(f"no mapping for {path!r} (registered: {', '.join(sorted(keys))})")
+    raise ValueError(f"no mapping for {path!r} among {', '.join(sorted(keys))}")
 
 
 def route(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.contract import CANONICAL_SCHEMA
+from riskframe.operators.columns import cell
 from riskframe.sources.files import with_row_index
 
 
@@ -17,7 +18,7 @@ def canonical_frame(df: DataFrame) -> DataFrame:
     have = set(df.columns)
     return df.select(
         *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            (cell(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in CANONICAL_SCHEMA
         ]
     )
@@ -39,11 +40,11 @@ def write_csv(
         if not order_by:
             raise ValueError("index=True needs order_by")
         df = with_row_index(df, order_by)
-        df = df.select("index", *[c for c in df.columns if c != "index"])
+        df = df.select("index", *[cell(c) for c in df.columns if c != "index"])
     nested = (T.MapType, T.StructType, T.ArrayType)
     flat = df.select(
         *[
-            F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name)
+            F.to_json(cell(f.name)).alias(f.name) if isinstance(f.dataType, nested) else cell(f.name)
             for f in df.schema
         ]
     )

@@ -122,7 +122,6 @@ def test_numeric_summary(spark):
     assert s.zero_share == pytest.approx(1 / 31)
     want = np.quantile(np.arange(-1, 30), [0.05, 0.25, 0.75, 0.95])
     assert [s.p5, s.p25, s.p75, s.p95] == pytest.approx(list(want))
-    assert R.numeric_summary(df, ["value"], direct_cells=0).first() == s
     none = R.numeric_summary(df.filter("value > 99"), ["value"]).first()
     assert (none.n, none.mean, none.p5, none.zero_share) == (0, None, None, 0.0)
     assert R.numeric_summary(df, []).count() == 0
@@ -160,10 +159,9 @@ def test_narrowing_shrinks_wide_brackets(spark):
 
 def test_label_by_numeric(spark):
     df = spark.range(30).select(F.col("id").cast("int").alias("age"), (F.col("id") % 2).alias("fraud_bool"))
-    for cells in (10**6, 0):
-        r = R.label_by_numeric(df, ["age"], "fraud_bool", direct_cells=cells).first()
-        assert (r.pos_mean, r.neg_mean, r.pos_median, r.neg_median) == (15.0, 14.0, 15.0, 14.0)
-        assert r.comparable is True
+    r = R.label_by_numeric(df, ["age"], "fraud_bool").first()
+    assert (r.pos_mean, r.neg_mean, r.pos_median, r.neg_median) == (15.0, 14.0, 15.0, 14.0)
+    assert r.comparable is True
     lonely = R.label_by_numeric(df, ["age"], "fraud_bool", positive=9).first()
     assert lonely.comparable is False and lonely.pos_mean is None
 
@@ -255,7 +253,6 @@ def test_near_duplicates(spark):
         F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(-999999).alias("e"))
     cols = list("abcde")
     assert {tuple(r) for r in R.near_duplicates(df, cols).collect()} == {("b", "a")}
-    assert {tuple(r) for r in R.near_duplicates(df, cols, 200, ["i"]).collect()} == {("b", "a"), ("c", "a"), ("e", "d")}
     assert R.near_duplicates(df, []).count() == 0
 
 
@@ -289,3 +286,54 @@ def test_run_all(spark):
     assert states["overview", "size"] == "ok"
     assert states["numeric", "summary"] == "ok"
     assert bare.long.filter("status like 'failed%'").count() >= 1
+
+
+def test_quantiles_of_extremes(spark):
+    inf = float("inf")
+    cases = {
+        (1.0, 2.0, inf, inf, inf): [1.0, 2.0, inf, inf, inf],
+        (-inf, -inf, 1.0, 2.0, 3.0): [-inf, -inf, 1.0, 2.0, 3.0],
+        (1e308, -1e308, 1e308, 1e308, 1e308): [-1e308, 1e308, 1e308, 1e308, 1e308],
+    }
+    for values, want in cases.items():
+        df = numbers(spark, values)
+        got = Q.quantiles(df, {"value": F.col("value")}, [0.0, 0.25, 0.5, 0.75, 1.0])
+        assert got["value"] == want
+
+
+@pytest.mark.parametrize("kind,positive", [("boolean", 1), ("boolean", True), ("int", 1), ("double", 1), ("string", "yes")])
+def test_every_kind_of_label(spark, kind, positive):
+    hit = F.col("id") % 3 == 0
+    label = {"boolean": hit, "string": F.when(hit, "yes").otherwise("no")}.get(kind, hit.cast(kind if kind in ("int", "double") else "int"))
+    df = spark.range(300).select(
+        F.when(hit, "a").otherwise("b").alias("city"), (F.col("id") % 12).cast("int").alias("month"),
+        F.col("id").alias("y"), (F.col("id") * 2).alias("pos"), (F.col("id") * 3).cast("double").alias("a.b"),
+        F.col("id").cast("double").alias("x"), label.alias("fraud_bool"),
+    )
+    assert R.class_balance(df, "fraud_bool", positive).first().positives == 100
+    rates = {r.value: r.positive_rate for r in R.category_counts(df, ["city"], "fraud_bool", positive).collect()}
+    assert rates == {"a": 1.0, "b": 0.0}
+    assert R.period_counts(df, "month", "fraud_bool", positive).count() == 12
+    assert R.label_by_category(df, ["city"], "fraud_bool", positive).count() == 2
+    names = ["y", "pos", "a.b", "x"]
+    sides = {r.column: (r.pos_n, r.neg_n) for r in R.label_by_numeric(df, names, "fraud_bool", positive).collect()}
+    assert sides == dict.fromkeys(names, (100, 200))
+    assert {r.column for r in R.label_correlations(df, names, "fraud_bool", positive).collect()} == set(names)
+    assert [tuple(r) for r in R.near_duplicates(df, names).collect()] == [("x", "y")]
+    assert R.leakage_findings(df, "fraud_bool", positive).filter("check = 'duplicate'").count() == 1
+
+
+def test_period_shifts_over_many_ranges(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(4000).select((F.col("id") / 4).cast("int").alias("period"), F.when(F.col("id") % 40 >= 8, None).otherwise(
+            F.when(F.col("id") >= 2000, 1).otherwise(0)).alias("fraud_bool"))
+        got = R.period_shifts(df, "period", "fraud_bool").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [(r.period, r.rate, r.previous_rate) for r in got] == [("500", 1.0, 0.0)]
+
+
+def test_row_order_with_tied_positions(spark):
+    df = frame(spark, "at int, month int", [(1, 1), (1, 2), (2, 2), (2, 3)])
+    assert R.row_order(df, "month", ["at"]).first().direction == "increasing"

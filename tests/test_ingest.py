@@ -10,27 +10,31 @@ from riskframe.operators.dedupe import duplicate_counts, first_per_key
 from riskframe.plans.ingest import Source, ingest, ingest_folder
 from riskframe.sources import files, routing, sinks
 
-POS_ROW = dict(
-    transaction_id="pos-1", customer_id="cust-1", amount="42.50", currency="usd",
-    timestamp="2026-01-02T03:04:05", location="store-12", merchant_id="merch-9",
-    card_last4="0123", card_type="VISA", payment_method="CHIP", authorization_code="A1B2C3",
-    response_code="00",
-)
-ATM_ROW = dict(
-    transaction_id="atm-1", customer_id="cust-2", amount="100.00", currency="USD",
-    timestamp="02/01/2026 10:00:00", terminal_id="atm-77", card_last4="5678",
-    card_type="MASTERCARD", transaction_type="CASH_WITHDRAWAL", response_code="00",
-)
-ONLINE_ROW = dict(
-    transaction_id="onl-1", customer_id="cust-3", amount="1,250.75", currency="eur",
-    timestamp="2026-01-02 11:30:00", merchant_id="merch-3", card_last4="9999",
-    card_type="VISA", merchant_category="electronics", channel="MOBILE_APP",
-    transaction_status="APPROVED",
-)
-RECORD = dict(
-    transaction_id="txn-1", customer_id="cust-1", channel="POS", amount="10.5",
-    currency="USD", timestamp="2026-01-02T03:04:05", merchant_id="merch-1", card_last4="1234",
-)
+POS_ROW = {
+    "transaction_id": "S-501", "customer_id": "K-88", "amount": "18.25", "currency": "gbp",
+    "timestamp": "2025-11-30T23:59:01", "location": "kiosk-4", "merchant_id": "m-310",
+    "card_last4": "0077", "card_type": "MC", "payment_method": "TAP", "authorization_code": "Q9Z",
+    "response_code": "05",
+}
+ATM_ROW = {
+    "transaction_id": "W-77", "customer_id": "K-89", "amount": "60.00", "currency": "CHF",
+    "timestamp": "15/06/2025 08:30:00", "terminal_id": "t-12", "card_last4": "4411",
+    "card_type": "VISA", "transaction_type": "BALANCE", "response_code": "00",
+}
+ONLINE_ROW = {
+    "transaction_id": "N-3", "customer_id": "K-90", "amount": "2,480.10", "currency": "sek",
+    "timestamp": "2025-12-24 18:05:00", "merchant_id": "m-7", "card_last4": "8080",
+    "card_type": "AMEX", "merchant_category": "travel", "channel": "WEB",
+    "transaction_status": "SETTLED",
+}
+RECORD = {
+    "transaction_id": "R-9", "customer_id": "K-91", "channel": "POS", "amount": "7.75",
+    "currency": "USD", "timestamp": "2025-10-01T12:00:00", "merchant_id": "m-1", "card_last4": "9090",
+}
+
+
+def src(*paths, mapping=None):
+    return [Source(str(p), mapping=mapping) for p in paths]
 
 
 def put(path, *rows, header=None):
@@ -66,38 +70,38 @@ def test_merges_sources(spark, folder):
     rows = {r.transaction_id: r for r in result.records.collect()}
     assert result.records.columns == list(CANONICAL_FIELDS)
     assert {r.channel for r in rows.values()} == set(CHANNELS)
-    assert rows["pos-1"].amount == 42.5 and rows["pos-1"].currency == "USD"
-    assert rows["pos-1"].card_last4 == "0123" and rows["pos-1"].response_code == "00"
-    assert rows["pos-1"].terminal_id is None and rows["pos-1"].raw_source_data is None
-    assert rows["atm-1"].timestamp == "2026-01-02T10:00:00"
-    assert rows["atm-1"].payment_method == "CASH_WITHDRAWAL" and rows["atm-1"].merchant_id is None
-    assert rows["onl-1"].amount == 1250.75 and rows["onl-1"].payment_method == "MOBILE_APP"
-    assert rows["onl-1"].response_code == "APPROVED" and rows["onl-1"].location is None
+    assert rows["S-501"].amount == 18.25 and rows["S-501"].currency == "GBP"
+    assert rows["S-501"].card_last4 == "0077" and rows["S-501"].response_code == "05"
+    assert rows["S-501"].terminal_id is None and rows["S-501"].raw_source_data is None
+    assert rows["W-77"].timestamp == "2025-06-15T08:30:00"
+    assert rows["W-77"].payment_method == "BALANCE" and rows["W-77"].merchant_id is None
+    assert rows["N-3"].amount == 2480.1 and rows["N-3"].payment_method == "WEB"
+    assert rows["N-3"].response_code == "SETTLED" and rows["N-3"].location is None
     total = result.totals().first()
     assert (total.sources, total.rows_read, total.records, total.ok) == (3, 3, 3, True)
 
 
 def test_first_id_wins_across_sources(spark, folder):
-    again = put(folder / "pos_duplicate.csv", {**POS_ROW, "amount": "99.99"})
+    again = put(folder / "pos_duplicate.csv", {**POS_ROW, "amount": "77.70"})
     paths = [folder / "pos_transactions.csv", again]
-    result = ingest(spark, paths)
-    assert [r.amount for r in result.records.collect()] == [42.5]
+    result = ingest(spark, src(*paths))
+    assert [r.amount for r in result.records.collect()] == [18.25]
     report = result.source_report().orderBy("source_ordinal").collect()
     assert [r.duplicates_removed for r in report] == [0, 1]
     assert [r.valid for r in report] == [1, 1]
-    assert ingest(spark, paths, dedupe=False).records.count() == 2
+    assert ingest(spark, src(*paths), dedupe=False).records.count() == 2
 
 
 def test_rejected_rows_do_not_claim_ids(spark, folder):
-    path = put(folder / "pos_mixed.csv", {**POS_ROW, "currency": "dollars"}, POS_ROW,
-               {**POS_ROW, "transaction_id": "pos-2", "amount": "oops"})
-    result = ingest(spark, [path])
+    path = put(folder / "pos_mixed.csv", {**POS_ROW, "currency": "kroner"}, POS_ROW,
+               {**POS_ROW, "transaction_id": "S-502", "amount": "free"})
+    result = ingest(spark, src(path))
     assert result.records.count() == 1
     rejects = result.rejects.orderBy("row_index").collect()
     assert [(r.source, r.row_index, r.field, r.value) for r in rejects] == [
-        ("pos_mixed", 0, "currency", "dollars"), ("pos_mixed", 2, "amount", "oops"),
+        ("pos_mixed", 0, "currency", "kroner"), ("pos_mixed", 2, "amount", "free"),
     ]
-    assert rejects[1].record.transaction_id == "pos-2"
+    assert rejects[1].record.transaction_id == "S-502"
     assert {r.field: r.n for r in result.field_counts().collect()} == {"currency": 1, "amount": 1}
     metrics = result.metrics().first()
     assert (metrics.total, metrics.invalid, metrics.is_valid) == (3, 2, False)
@@ -107,13 +111,13 @@ def test_rejected_rows_do_not_claim_ids(spark, folder):
 
 def test_reject_positions_over_many_blocks(spark, folder):
     rows = [
-        {**POS_ROW, "transaction_id": f"p{i}", "card_last4": "12" if i % 37 == 5 else "0123"}
+        {**POS_ROW, "transaction_id": f"p{i}", "card_last4": "98" if i % 37 == 5 else "0077"}
         for i in range(2000)
     ]
     path = put(folder / "pos_many.csv", *rows)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        result = ingest(spark, [path])
+        result = ingest(spark, src(path))
         got = sorted(r.row_index for r in result.rejects.select("row_index").collect())
         assert result.annotated.rdd.getNumPartitions() > 4
     finally:
@@ -122,18 +126,18 @@ def test_reject_positions_over_many_blocks(spark, folder):
 
 
 def test_bad_amount_can_fail_the_source(spark, folder):
-    bad = put(folder / "pos_bad.csv", POS_ROW, {**POS_ROW, "amount": "not-a-number"})
+    bad = put(folder / "pos_bad.csv", POS_ROW, {**POS_ROW, "amount": "n0ne"})
     paths = [bad, folder / "atm_transactions.csv"]
-    result = ingest(spark, paths, on_bad_amount="fail_source")
+    result = ingest(spark, src(*paths), on_bad_amount="fail_source")
     report = result.source_report().orderBy("source_ordinal").collect()
     assert [(r.status, r.rows_read, r.valid, r.invalid) for r in report] == [
         ("FAILED", 2, 0, 0), ("ok", 1, 1, 0),
     ]
-    assert "not-a-number" in report[0].error
-    assert [r.transaction_id for r in result.records.collect()] == ["atm-1"]
+    assert "n0ne" in report[0].error
+    assert [r.transaction_id for r in result.records.collect()] == ["W-77"]
     total = result.totals().first()
     assert total.failed_sources == 1 and total.ok is False
-    assert ingest(spark, paths).records.count() == 2
+    assert ingest(spark, src(*paths)).records.count() == 2
 
 
 def test_failed_sources_do_not_stop_the_others(spark, folder):
@@ -141,16 +145,16 @@ def test_failed_sources_do_not_stop_the_others(spark, folder):
     (folder / "pos_empty.csv").write_text("")
     paths = [thin, folder / "pos_absent.csv", folder / "pos_empty.csv",
              folder / "pos_transactions.csv"]
-    result = ingest(spark, paths)
+    result = ingest(spark, src(*paths))
     report = result.source_report().orderBy("source_ordinal").collect()
     assert [r.status for r in report] == ["FAILED", "FAILED", "FAILED", "ok"]
     assert [r.rows_read for r in report] == [1, 0, 0, 1]
     assert "customer_id" in report[0].error and "FileNotFound" in report[1].error
     with pytest.raises(ValueError):
-        ingest(spark, [thin], raise_on_error=True)
+        ingest(spark, src(thin), raise_on_error=True)
     with pytest.raises(FileNotFoundError):
-        ingest(spark, [folder / "pos_absent.csv"], raise_on_error=True)
-    assert ingest(spark, [thin]).records.count() == 0
+        ingest(spark, src(folder / "pos_absent.csv"), raise_on_error=True)
+    assert ingest(spark, src(thin)).records.count() == 0
 
 
 def test_folder_routing(spark, folder):
@@ -186,7 +190,7 @@ def test_detect_mapping(spark):
 def test_sources_forms_and_registry(spark, folder):
     pos = str(folder / "pos_transactions.csv")
     frame = spark.createDataFrame([POS_ROW]).withColumn("seq", F.lit(7))
-    result = ingest(spark, [pos, (pos, "POS"), Source(name="f", mapping="pos", frame=frame, position=F.col("seq"))])
+    result = ingest(spark, [*src(pos), *src(pos, mapping="POS"), Source(name="f", mapping="pos", frame=frame, position=F.col("seq"))])
     report = result.source_report().orderBy("source_ordinal").collect()
     assert [(r.source, r.valid, r.duplicates_removed) for r in report] == [
         ("pos_transactions", 1, 0), ("pos_transactions", 1, 1), ("f", 1, 1),
@@ -194,7 +198,7 @@ def test_sources_forms_and_registry(spark, folder):
     with pytest.raises(TypeError):
         ingest(spark, [1234])
     with pytest.raises(ValueError):
-        ingest(spark, [(pos, "wire")])
+        ingest(spark, src(pos, mapping="wire"))
 
     def wire(df):
         return df.select("*", F.lit("ATM").alias("channel"), F.lit("x").alias("unexpected"))
@@ -203,32 +207,32 @@ def test_sources_forms_and_registry(spark, folder):
     with pytest.raises(TypeError):
         M.register(registry, "x", object())
     raw = put(folder / "wire_1.csv", {k: POS_ROW[k] for k in ("transaction_id", "customer_id", "amount", "currency", "timestamp")})
-    result = ingest(spark, [raw], mappings=registry)
+    result = ingest(spark, src(raw), mappings=registry)
     assert result.records.first().channel == "ATM"
-    assert ingest(spark, [raw], mappings=registry, strict=True).rejects.first().field is None
+    assert ingest(spark, src(raw), mappings=registry, strict=True).rejects.first().field is None
 
 
 def test_raw_capture(spark, folder):
-    result = ingest(spark, [folder / "online_transactions.csv"], include_raw=True)
+    result = ingest(spark, src(folder / "online_transactions.csv"), include_raw=True)
     raw = result.records.first().raw_source_data
-    assert raw["merchant_category"] == "electronics" and raw["amount"] == "1,250.75"
+    assert raw["merchant_category"] == "travel" and raw["amount"] == "2,480.10"
     assert set(raw) == set(ONLINE_ROW)
 
 
 def test_header_names_are_stripped(spark, folder):
     header = [(" amount" if c == "amount" else c) for c in POS_ROW]
     path = put(folder / "pos_spaced.csv", dict(zip(header, POS_ROW.values())))
-    assert ingest(spark, [path]).records.first().amount == 42.5
+    assert ingest(spark, src(path)).records.first().amount == 18.25
 
 
 def test_validation_rules(spark):
     assert outcome(
         spark, {}, {"channel": "online banking"}, {"amount": "$1,250.75"},
         {"timestamp": "02/01/2026 10:00:00"}, {"card_last4": None}, {"amount": None, "currency": None},
-        {"currency": "dollars"}, {"amount": "abc"}, {"amount": "-5"}, {"channel": "telegraph"},
-        {"timestamp": "not-a-date"}, {"card_last4": "12"}, {"response_time_seconds": "1.5"},
+        {"currency": "kroner"}, {"amount": "4x"}, {"amount": "-5"}, {"channel": "pigeon"},
+        {"timestamp": "someday"}, {"card_last4": "98"}, {"response_time_seconds": "1.5"},
         {"response_time_seconds": "-1"}, {"response_time_seconds": "soon"}, {"is_fraud": "1"},
-        {"is_fraud": "maybe"}, {"currency": "x", "amount": "abc"}, {"customer_id": " n/a "},
+        {"is_fraud": "maybe"}, {"currency": "x", "amount": "4x"}, {"customer_id": " n/a "},
     ) == [
         None, None, None, None, None, "<record>", "currency", "amount", "amount", "channel",
         "timestamp", "card_last4", None, "response_time_seconds", "response_time_seconds", None,
@@ -260,7 +264,7 @@ def test_typed_records(spark):
 
 
 def test_reject_metrics(spark):
-    df = V.validate(records(spark, {}, {"amount": "oops"}, {"channel": "telegraph"}))
+    df = V.validate(records(spark, {}, {"amount": "free"}, {"channel": "pigeon"}))
     m = V.reject_metrics(df).first()
     assert (m.total, m.valid, m.invalid, m.is_valid) == (3, 1, 2, False)
     assert m.failure_rate == pytest.approx(2 / 3)
@@ -287,12 +291,12 @@ def test_first_per_key_with_a_hot_key(spark):
 
 
 def test_csv_sink_and_typed_scan(spark, folder, tmp_path):
-    result = ingest(spark, [folder / "pos_transactions.csv"], include_raw=True)
+    result = ingest(spark, src(folder / "pos_transactions.csv"), include_raw=True)
     out = sinks.write_csv(result.records, str(tmp_path / "deep" / "out"))
     back = files.read_text_csv(spark, out)
     assert back.columns == list(CANONICAL_FIELDS)
     row = back.first()
-    assert row.card_last4 == "0123" and '"location":"store-12"' in row.raw_source_data
+    assert row.card_last4 == "0077" and '"location":"kiosk-4"' in row.raw_source_data
     rejects = sinks.write_rejects(result.rejects, str(tmp_path / "rejects"))
     assert spark.read.schema(result.rejects.schema).parquet(rejects).count() == 0
 
@@ -321,3 +325,35 @@ def test_row_index(spark, tmp_path):
     assert all(r["index"] == r.k for r in got) and len(got) == 1000
     out = sinks.write_csv(df, str(tmp_path / "indexed"), index=True, order_by=["k"])
     assert files.read_text_csv(spark, out).columns == ["index", "k"]
+
+
+def test_row_with_surplus_cells_is_rejected(spark, folder):
+    path = put(folder / "pos_long.csv", POS_ROW, {**POS_ROW, "transaction_id": "S-502", "location": "a, b"})
+    with open(path, "a") as out:
+        out.write(",".join([*{**POS_ROW, "transaction_id": "S-503"}.values(), "more", "cells"]) + "\n")
+        out.write("S-504,K-1,5\n")
+    result = ingest(spark, src(path))
+    assert sorted(r.transaction_id for r in result.records.collect()) == ["S-501", "S-502"]
+    rejects = result.rejects.orderBy("row_index").collect()
+    assert [(r.row_index, r.error_class) for r in rejects] == [(2, "SCHEMA"), (3, "SCHEMA")]
+    assert rejects[0].value.endswith("more,cells") and "more cells" in rejects[0].message
+    with pytest.raises(Exception, match="more cells"):
+        files.read_text_csv(spark, path).collect()
+
+
+def test_positions_of_a_frame_in_many_partitions(spark):
+    rows = [{**POS_ROW, "transaction_id": f"f{i}", "currency": "x1" if i % 3 == 0 else "usd"} for i in range(12)]
+    frame = spark.createDataFrame(spark.sparkContext.parallelize([tuple(r.values()) for r in rows], 3), list(rows[0]))
+    result = ingest(spark, [Source(name="f", mapping="pos", frame=frame)])
+    assert sorted(r.row_index for r in result.rejects.collect()) == [0, 3, 6, 9]
+
+
+def test_a_broken_part_file_fails_its_source_only(spark, folder):
+    parts = folder / "pos_parts"
+    parts.mkdir()
+    put(parts / "a.csv", POS_ROW)
+    put(parts / "b.csv", dict(reversed(list(POS_ROW.items()))))
+    result = ingest(spark, src(parts, folder / "atm_transactions.csv", folder / "online_transactions.csv")).materialized()
+    report = result.source_report().orderBy("source_ordinal").collect()
+    assert [(r.status, r.valid) for r in report] == [("FAILED", 0), ("ok", 1), ("ok", 1)]
+    assert sorted(r.transaction_id for r in result.records.collect()) == ["N-3", "W-77"]

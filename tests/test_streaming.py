@@ -1,7 +1,7 @@
 from test_ingest import POS_ROW, put
 
 from riskframe.operators.mappings import POS
-from riskframe.plans.ingest import ingest
+from riskframe.plans.ingest import Source, ingest
 from riskframe.streaming.ingest import read_stream, start_ingest
 
 
@@ -9,12 +9,12 @@ def test_stream_matches_batch(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     put(folder / "pos_1.csv", POS_ROW, {**POS_ROW, "amount": "99"}, {**POS_ROW, "transaction_id": "p2"})
-    put(folder / "pos_2.csv", {**POS_ROW, "transaction_id": "p3", "currency": "dollars"}, POS_ROW)
+    put(folder / "pos_2.csv", {**POS_ROW, "transaction_id": "p3", "currency": "kroner"}, POS_ROW)
     paths = [str(tmp_path / n) for n in ("records", "rejects", "state")]
     for query in start_ingest(read_stream(spark, str(folder), POS), POS, *paths):
         query.awaitTermination(120)
-    batch = ingest(spark, [(str(folder), "pos")])
+    batch = ingest(spark, [Source(str(folder), mapping="pos")])
     ids = sorted(r.transaction_id for r in spark.read.parquet(paths[0]).collect())
-    assert ids == sorted(r.transaction_id for r in batch.records.collect()) == ["p2", "pos-1"]
+    assert ids == sorted(r.transaction_id for r in batch.records.collect()) == ["S-501", "p2"]
     rejects = spark.read.parquet(paths[1]).collect()
-    assert [(r.field, r.value) for r in rejects] == [("currency", "dollars")]
+    assert [(r.field, r.value) for r in rejects] == [("currency", "kroner")]
