@@ -11,7 +11,8 @@ word starts a word's pieces are looked up or computed once per task and kept.
 
 The vocabulary's own order of merges plays no part: a model file trained for merging gives the
 pieces that its scores make best, as the library gives for the same pieces marked as a unigram model.
-Equal sums are told apart by a fixed weight of each piece, so that chunks cannot matter.
+Equal sums are told apart by a fixed weight of each piece, so which pieces are used does not depend
+on the cuts; the order of one and the same pieces inside a run without spaces may.
 
 Defined cases. As the library does, a text gets a word mark in front and spaces become word marks;
 nothing else is normalised, so decoding gives back the text. A character without a piece of its own,
