@@ -162,6 +162,8 @@ class Scorer:
     def entropies(self, texts: list[str | None]) -> np.ndarray:
         """[text, model] nats per character, NaN for texts without letters."""
         out = np.full((len(texts), len(self.models)), np.nan)
+        if not self.models:
+            return out
         for i, text in enumerate(texts):
             words = letters(text)
             if not words:

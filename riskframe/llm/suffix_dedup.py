@@ -45,6 +45,8 @@ BATCHES = 3
 HELD = 1 << 16
 #: Bytes hashed at a time, and contexts compared at a time.
 STRETCH, AT_ONCE = 1 << 22, 4096
+#: Longer texts are hashed in overlapping stretches.
+CUT = STRETCH
 
 _REACH = LENGTH - GRAM
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -97,9 +99,9 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(positions, beginnings, contexts) of the anchors of one text."""
     if len(text) < LENGTH:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    if len(text) > STRETCH:
+    if len(text) > CUT:
         # Stretches overlap so that every run and every context lies in one of them whole.
-        step, parts = STRETCH - 4 * LENGTH, []
+        step, parts = CUT - 4 * LENGTH, []
         for at in range(0, len(text), step):
             lo, hi = max(0, at - 2 * LENGTH), min(len(text), at + step + 2 * LENGTH)
             if hi - lo < LENGTH:
