@@ -89,15 +89,24 @@ def dataset_size(spark, sf):
     return R.dataset_size(table(spark, sf, "lineitem"))
 
 
+_TYPES = {
+    "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+    "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
+    "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
+}
+
+
 @query(
     "a02_column_types",
-    """SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS ordinal, column_name AS "column",
-    CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
-    WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
-    WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS type FROM (DESCRIBE SELECT * FROM lineitem)""",
+    " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS ordinal, '{c}' AS \"column\", '{t}' AS type, "
+        f"count({c}) AS present FROM lineitem"
+        for i, (c, t) in enumerate(_TYPES.items())
+    ),
 )
 def column_types(spark, sf):
-    return R.overview(table(spark, sf, "lineitem"))
+    stats = R.column_scan(table(spark, sf, "lineitem").select(*_TYPES))
+    return stats.select("ordinal", "column", "type", (F.col("n") - F.col("missing")).alias("present"))
 
 
 # --- data quality ---------------------------------------------------------------------------
@@ -772,10 +781,35 @@ def run_everything(spark, sf):
         "relationships": ("numbers", "pos_n"), "outliers": ("fences", "outliers"),
         "leakage": ("findings", "n"),
     }
-    long = R.run_all(lines(spark, sf), TARGET).long
+    every = R.run_all(lines(spark, sf), TARGET, order_by=["order_key", "line_number", "part_key", "price"])
+    bad = [tuple(r) for r in every.status.collect() if r.status != "ok"]
+    if bad or "temporal.row_order" not in every.tables:
+        raise RuntimeError(f"not every analysis ran: {bad}")
+    long = every.long
     chosen = F.lit(False)
     for analysis, (part, metric) in kept.items():
         chosen = chosen | (
             (F.col("analysis") == analysis) & (F.col("part") == part) & (F.col("metric") == metric)
         )
     return long.filter(chosen)
+
+
+@query(
+    "a24_boolean_label_odd_names",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", count({c}) FILTER (hit) AS pos_n, count({c}) FILTER (NOT hit) AS neg_n,
+        round(avg({c}) FILTER (hit), 4) + 0.0 AS pos_mean, round(avg({c}) FILTER (NOT hit), 4) + 0.0 AS neg_mean
+        FROM (SELECT *, coalesce(l_returnflag = 'R' AND l_linenumber <> 7, false) AS hit FROM lineitem)"""
+        for name, c in {"y": "l_quantity", "pos": "l_discount", "a.b": "l_tax", "x": "l_extendedprice"}.items()
+    ),
+)
+def odd_names(spark, sf):
+    """A true/false label, and columns named like what the operators keep inside."""
+    c = F.col
+    df = table(spark, sf, "lineitem").select(
+        c("l_quantity").alias("y"), c("l_discount").alias("pos"), c("l_tax").alias("a.b"), c("l_extendedprice").alias("x"),
+        F.when(c("l_linenumber") != 7, c("l_returnflag") == "R").alias(TARGET),
+    )
+    sides = R.label_by_numeric(df, ["y", "pos", "a.b", "x"], TARGET)
+    means = [(F.round(m, 4) + 0.0).alias(m) for m in ("pos_mean", "neg_mean")]
+    return sides.select("column", "pos_n", "neg_n", *means)

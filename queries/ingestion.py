@@ -211,7 +211,7 @@ READ = f"""{TRUTH}, read AS (SELECT o_orderkey, {_SOURCE} AS source_ordinal,
   CASE WHEN o_orderkey % 3 <> 1 THEN merchant_id END AS merchant_id,
   CASE WHEN o_orderkey % 3 = 1 THEN terminal_id END AS terminal_id, card_last4, card_type,
   CASE o_orderkey % 3 WHEN 0 THEN payment_method WHEN 1 THEN 'CASH' ELSE CASE o_orderkey % 5
-    WHEN 0 THEN 'online banking' WHEN 1 THEN 'pos' WHEN 2 THEN 'Atm!' WHEN 3 THEN 'telegraph'
+    WHEN 0 THEN 'online banking' WHEN 1 THEN 'pos' WHEN 2 THEN 'Atm!' WHEN 3 THEN 'pigeon'
     ELSE 'ONLINE_BANKING' END END AS payment_method,
   CASE WHEN o_orderkey % 3 = 0 THEN authorization_code END AS authorization_code,
   CASE WHEN o_orderkey % 3 = 2 THEN 'APPROVED' ELSE response_code END AS response_code
@@ -330,9 +330,65 @@ def failed_source(spark, sf):
 def bad_amount_fails_source(spark, sf):
     specs = sources(spark, sf)
     good = R.read_text_csv(spark, specs[1].path, with_ordinal=True)
-    plain = ~F.col("amount").rlike("-|abc|^1,2,3") & F.col("amount").rlike("[0-9]")
+    plain = ~F.col("amount").rlike("-|7x7|^4,5,6") & F.col("amount").rlike("[0-9]")
     clean = R.Source(name="clean", mapping="atm", frame=good.filter(plain).drop("row_ordinal"))
     report = R.ingest(spark, [*specs, clean], on_bad_amount="fail_source").source_report()
     return report.select(
         "source", (F.col("status") == "FAILED").alias("failed"), "rows_read", "valid"
     )
+
+
+@query(
+    "s06_surplus_cells",
+    """SELECT o_orderkey % 9 = 0 AS surplus, count(*) AS n, count(*) FILTER (o_orderkey % 9 = 0) AS lines
+    FROM orders GROUP BY 1""",
+)
+def surplus_cells(spark, sf):
+    """Rows with more cells than the header, which an unquoted comma makes."""
+    priority = F.col("o_orderpriority")
+    rows = spark.read.parquet(f"{sf}/orders.parquet").select(
+        order_key().cast("string").alias("key"),
+        F.when(order_key() % 9 == 0, F.concat(priority, F.lit(",more"))).otherwise(priority).alias("note"),
+    )
+    path = f"{scratch_path(spark, 'surplus')}/orders"
+    rows.write.csv(path, header=True, quote="")
+    text = R.read_text_csv(spark, path, surplus="line")
+    return text.groupBy(F.col("line").isNotNull().alias("surplus")).agg(
+        F.count("key").alias("n"), F.count("line").alias("lines")
+    )
+
+
+@query(
+    "i10_positions_of_a_frame",
+    f"""WITH {READ} SELECT count(*) AS rejects, count(*) AS positions, true AS inside
+    FROM read WHERE field IS NOT NULL AND source = 'pos'""",
+)
+def frame_positions(spark, sf):
+    """Rejects of a frame in many partitions have positions of their own among its rows."""
+    rows = raw(spark, sf).filter(order_key() % 3 == 0).repartitionByRange(4, "o_orderkey").select(*POS.required)
+    frame = rows.cache()
+    n = frame.count()
+    rejects = R.ingest(spark, [R.Source(name="pos", mapping="pos", frame=frame)]).rejects
+    return rejects.agg(
+        F.count(F.lit(1)).alias("rejects"),
+        F.count_distinct("row_index").alias("positions"),
+        F.bool_and(F.col("row_index").between(0, n - 1)).alias("inside"),
+    )
+
+
+@query(
+    "v02_broken_part_file",
+    f"""WITH {READ} SELECT source, 'ok' AS status, count(*) AS rows_read FROM read
+    WHERE source <> 'online' GROUP BY source UNION ALL SELECT 'broken', 'FAILED', 0""",
+)
+def broken_part_file(spark, sf):
+    """A part file with another header fails its own source and no other."""
+
+    def build():
+        return raw(spark, sf).select(*POS.required)
+
+    path = f"{scratch_path(spark, 'broken')}/pos"
+    build().write.csv(path, header=True)
+    build().select(*reversed(POS.required)).write.mode("append").csv(path, header=True)
+    specs = [*sources(spark, sf)[:2], R.Source(path, "broken", "pos")]
+    return R.ingest(spark, specs).materialized().source_report().select("source", "status", "rows_read")

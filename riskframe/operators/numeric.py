@@ -96,6 +96,7 @@ def label_by_numeric(
     columns: Sequence[str],
     target: str,
     positive=1,
+    middle: Mapping[str, list] | None = None,
 ) -> DataFrame:
     """Mean and median on positive rows and on all others (a missing label is among those).
 
@@ -107,9 +108,8 @@ def label_by_numeric(
             _COMPARED, column="string", pos_n="bigint", neg_n="bigint", comparable="boolean"))
     pos = is_positive(df, target, positive)
     cells = {c: number_of(df, c) for c in columns}
-    sides = {f"pos {c}": F.when(pos, x) for c, x in cells.items()}
-    sides |= {f"neg {c}": F.when(~pos, x) for c, x in cells.items()}
-    middle = quantiles(df, sides, (0.5,))
+    if middle is None:
+        middle = quantiles(df, label_sides(df, columns, target, positive), (0.5,))
     stats = (
         melt(df, cells, "x", {"pos": pos})
         .groupBy("column")
@@ -136,6 +136,13 @@ def label_by_numeric(
     return table.withColumn("comparable", both).select(*_COMPARED)
 
 
+def label_sides(df: DataFrame, columns: Sequence[str], target: str, positive=1) -> dict[str, Column]:
+    """The columns on positive rows (``pos name``) and on all others (``neg name``)."""
+    pos = is_positive(df, target, positive)
+    sides = {f"pos {c}": F.when(pos, number_of(df, c)) for c in columns}
+    return sides | {f"neg {c}": F.when(~pos, number_of(df, c)) for c in columns}
+
+
 def quartiles(
     df: DataFrame, columns: Sequence[str]
 ) -> dict[str, list[float | None]]:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from riskframe.contract import MAX_CATEGORIES, MAX_PERIODS, TARGET
 from riskframe.operators import categories, leakage, numeric, profile, temporal
-from riskframe.operators.columns import is_category_type
+from riskframe.operators.columns import is_category_type, number_of
+from riskframe.operators.quantiles import quantiles
 from riskframe.operators.roles import period_columns, split_columns
 from riskframe.sources.scratch import materialize
 
@@ -122,9 +123,34 @@ class _Shared:
     def counts_of(self, columns: Sequence[str]) -> DataFrame:
         return self.counts.filter(F.col("column").isin(list(columns)))
 
+    @property
+    def spread(self) -> dict:
+        """Percentiles of the continuous columns, over all rows and on either side of the label, by one search."""
+
+        def search() -> dict:
+            cells = {f"all {c}": number_of(self.df, c) for c in self.roles[1]}
+            if self.label:
+                cells |= numeric.label_sides(self.df, self.roles[1], self.label, self.positive)
+            return quantiles(self.df, cells, numeric.SPREAD)
+
+        return self._once("spread", search)
+
+    @property
+    def of_all(self) -> dict:
+        return {c: self.spread[f"all {c}"] for c in self.roles[1]}
+
     @property
     def quartiles(self) -> dict:
-        return self._once("quartiles", lambda: numeric.quartiles(self.df, self.roles[1]))
+        return {c: list(v[1:4]) for c, v in self.of_all.items()}
+
+    @property
+    def medians(self) -> dict:
+        return {k: [v[2]] for k, v in self.spread.items() if not k.startswith("all ")}
+
+    @property
+    def constants(self) -> DataFrame:
+        features = [*self.roles[0], *self.roles[1]]
+        return self.stats.filter(F.col("is_constant") & F.col("column").isin(features)).select("column", "n")
 
 
 def _parts(analysis, df, label, positive, order_by, shared: _Shared):
@@ -158,7 +184,8 @@ def _parts(analysis, df, label, positive, order_by, shared: _Shared):
         return [("counts", False, lambda: categories.category_counts(
             df, shared.roles[0], label, positive, 15, seen, shared.counts_of(shared.roles[0])))]
     if analysis == "numeric":
-        return [("summary", False, lambda: numeric.numeric_summary(df, shared.roles[1]))]
+        return [("summary", False, lambda: numeric.numeric_summary(
+            df, shared.roles[1], spread=shared.of_all))]
     if analysis == "temporal":
         parts = [("periods", False, lambda: _periods(shared))]
         if order_by:
@@ -171,7 +198,7 @@ def _parts(analysis, df, label, positive, order_by, shared: _Shared):
             ("categories", True, lambda: categories.label_by_category(
                 df, shared.roles[0], label, positive, 8, seen, shared.counts_of(shared.roles[0]))),
             ("numbers", True, lambda: numeric.label_by_numeric(
-                df, shared.roles[1], label, positive)),
+                df, shared.roles[1], label, positive, shared.medians)),
         ]
     if analysis == "outliers":
         return [
@@ -181,7 +208,8 @@ def _parts(analysis, df, label, positive, order_by, shared: _Shared):
                 df, shared.roles[1], quartile=shared.quartiles)),
         ]
     return [("findings", True, lambda: leakage.leakage_findings(
-        df, label, positive, *shared.limits, counts=shared.counts_of(shared.roles[0])))]
+        df, label, positive, *shared.limits, counts=shared.counts_of(shared.roles[0]),
+        roles=shared.roles, periods=shared.periods, constants=shared.constants))]
 
 
 def _most_common(df: DataFrame, shared: _Shared) -> DataFrame:
