@@ -24,7 +24,9 @@ def main() -> None:
     from pyspark.sql import SparkSession
 
     from queries import QUERIES
+    from riskframe.sources.scratch import clear_scratch, use_scratch_dir
 
+    use_scratch_dir("/tmp/checkpoints")
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (
@@ -50,6 +52,7 @@ def main() -> None:
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
         times[name] = round(min(runs), 3)
+    clear_scratch(spark)
     spark.stop()
     print(
         json.dumps(

@@ -99,7 +99,8 @@ def read_text_csv(
     """
     names = _raw_header(spark, path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _LINE]])
-    raw = spark.read.csv(
+    # Cells are counted in whole rows only, so the parser must not skip columns.
+    raw = spark.read.option("columnPruning", False).csv(
         _paths(path), schema=schema, header=True, quote='"', escape='"',
         nullValue="", emptyValue="", enforceSchema=False, multiLine=multiline,
         columnNameOfCorruptRecord=_LINE,

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CHOSEN: dict[str, str] = {}
+_MADE: list[str] = []
 
 
 def use_scratch_dir(folder: str) -> None:
@@ -24,7 +25,16 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the scratch folder."""
-    return f"{scratch_dir(spark)}/riskframe-{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/riskframe-{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every scratch table made so far; results that still read one must be written before."""
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

@@ -66,7 +66,9 @@ def main() -> int:
     from pyspark.sql import SparkSession
 
     from queries import ORACLES, QUERIES
+    from riskframe.sources.scratch import use_scratch_dir
 
+    use_scratch_dir("/tmp/checkpoints")
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
     spark = (
