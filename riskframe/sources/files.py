@@ -105,9 +105,7 @@ def read_text_csv(
         nullValue="", emptyValue="", enforceSchema=False, multiLine=multiline,
         columnNameOfCorruptRecord=_LINE,
     )
-    # The line is there for rows with too few or too many cells; commas outside quotes tell which.
-    commas = F.regexp_count(F.regexp_replace(_LINE, '"[^"]*"', ""), F.lit(","))
-    over = F.when(commas >= len(names), F.col(_LINE))
+    over = _surplus(len(names))
     wanted = [n for n in names if columns is None or n.strip() in columns]
     cells = [
         F.when(~F.col(_quoted(n)).isin(*READER_MISSING), F.col(_quoted(n))).alias(n.strip())
@@ -123,6 +121,55 @@ def read_text_csv(
     return raw.select(*cells)
 
 
+def first_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """``(file_name, line)``: the first line of each CSV file directly in a folder; empty files are absent.
+
+    Lines are not parsed, and only a file's first block gives any.
+    """
+    text = spark.read.option("pathGlobFilter", "*.csv").text(folder)
+    lines = text.select(
+        F.col("_metadata.file_name").alias("file_name"), "value",
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"),
+    )
+    first = lines.filter("block = 0").groupBy("file_name").agg(F.min_by("value", "row").alias("line"))
+    return first.filter("line <> ''")
+
+
+def header_names(spark: SparkSession, line: str) -> list[str]:
+    """The names in a header line."""
+    width = line.count(",") + 1
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    cells = F.from_csv(F.lit(line), F.lit(schema), {"escape": '"'})
+    return [str(c) for c in spark.range(1).select(cells.alias("x")).first().x if c is not None]
+
+
+def read_folder_csv(spark: SparkSession, folder: str, names: Sequence[str], only: Column) -> DataFrame:
+    """Text scan of those CSV files of a folder that ``only``, a test of ``_metadata``, picks.
+
+    Their headers must be ``names``; files are picked when they are listed. Adds the origin of each
+    row: ``__file``, ``__block``, ``__row``, and ``__surplus``, the line of a row with too many cells.
+    """
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _LINE]])
+    raw = spark.read.option("columnPruning", False).option("pathGlobFilter", "*.csv").csv(
+        folder, schema=schema, header=True, quote='"', escape='"', nullValue="", emptyValue="",
+        columnNameOfCorruptRecord=_LINE,
+    ).filter(only)
+    cells = [F.when(~F.col(_quoted(n)).isin(*READER_MISSING), F.col(_quoted(n))).alias(n.strip()) for n in names]
+    return raw.select(
+        *cells,
+        F.col("_metadata.file_name").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__row"),
+        _surplus(len(names)).alias("__surplus"),
+    )
+
+
+def _surplus(width: int) -> Column:
+    # The line is there for rows with too few or too many cells; commas outside quotes tell which.
+    commas = F.regexp_count(F.regexp_replace(_LINE, '"[^"]*"', ""), F.lit(","))
+    return F.when(commas >= width, F.col(_LINE))
+
+
 def file_ordinal() -> Column:
     """Position of a row read from files: file, block within it, row within the block."""
     return F.struct(

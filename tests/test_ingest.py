@@ -357,3 +357,23 @@ def test_a_broken_part_file_fails_its_source_only(spark, folder):
     report = result.source_report().orderBy("source_ordinal").collect()
     assert [(r.status, r.valid) for r in report] == [("FAILED", 0), ("ok", 1), ("ok", 1)]
     assert sorted(r.transaction_id for r in result.records.collect()) == ["N-3", "W-77"]
+
+
+def test_folder_of_many_files_is_one_scan_per_mapping(spark, tmp_path):
+    for i in range(30):
+        put(tmp_path / f"pos_{i:02}.csv", {**POS_ROW, "transaction_id": f"p{i % 20}"}, {**POS_ROW, "transaction_id": f"q{i}", "currency": "kroner"})
+        put(tmp_path / f"atm_{i:02}.csv", {**ATM_ROW, "transaction_id": f"a{i}"})
+    put(tmp_path / "pos_97.csv", dict(reversed(list({**POS_ROW, "transaction_id": "turned"}.items()))))
+    put(tmp_path / "pos_98.csv", {"transaction_id": "x", "amount": "1"})
+    (tmp_path / "pos_99.csv").write_text("")  # Spark lists no empty files
+    result = ingest_folder(spark, str(tmp_path))
+    assert result.annotated._jdf.queryExecution().executedPlan().toString().count("FileScan csv") <= 3
+    ids = {r.transaction_id for r in result.records.collect()}
+    assert ids == {f"p{i}" for i in range(20)} | {f"a{i}" for i in range(30)} | {"turned"}
+    report = {r.source: r for r in result.source_report().collect()}
+    assert len(report) == 62
+    assert (report["pos_25"].rows_read, report["pos_25"].valid, report["pos_25"].invalid, report["pos_25"].duplicates_removed) == (2, 1, 1, 1)
+    assert report["pos_97"].valid == 1 and report["atm_07"].mapping == "atm"
+    assert report["pos_98"].status == "FAILED" and "customer_id" in report["pos_98"].error and report["pos_98"].rows_read == 1
+    rejects = result.rejects.collect()
+    assert len(rejects) == 30 and {r.row_index for r in rejects} == {1}
