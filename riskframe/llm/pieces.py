@@ -24,6 +24,7 @@ result.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,8 +42,8 @@ from riskframe.sources.scratch import materialize
 CHUNK = 1 << 14
 #: Chunks whose matrices are multiplied as one block.
 BLOCK = 256
-#: Words kept per task.
-KEPT = 200_000
+#: Words kept per Python worker.
+KEPT = 300_000
 
 MARK = "▁"
 #: Stands for a word mark of the text itself; it cannot occur in UTF-8.
@@ -57,6 +58,20 @@ def model_path(model: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(model)
 
 
+#: Words up to this length are solved together, texts so many at a time.
+TOGETHER, AT_ONCE = 24, 500
+_BASE, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
+_POWERS = np.array([pow(int(_BASE), n, 1 << 64) for n in range(64)], np.uint64)
+
+
+def _key(piece: str) -> int:
+    """The hash by which a piece is looked up."""
+    h = 0
+    for c in piece:
+        h = (h * int(_BASE) + ord(c)) % (1 << 64)
+    return (h * int(_SPREAD) + len(piece)) % (1 << 64)
+
+
 class Vocabulary:
     """Pieces with integer weights, and the best paths over them."""
 
@@ -84,7 +99,24 @@ class Vocabulary:
             raise ValueError("pieces that cross word starts are not supported")
         self.unknown = round((min(scores) - 10) * SCALE)
         self.longest = max(map(len, self.table))
-        self.words: dict[str, tuple[list[int], int]] = {}
+        # Weights of pieces by text, and False for texts that only begin a piece.
+        self.beginnings: dict[str, int | bool] = {p[:n]: False for p in self.table for n in range(1, len(p))}
+        self.beginnings.update({p: w for p, (_, w) in self.table.items()})
+        # Pieces by a 64-bit hash, sorted, with a table of leading bits that rules most others out.
+        hashes = {_key(p): p for p in self.table}
+        if len(hashes) < len(self.table):
+            raise ValueError("two pieces have one hash")
+        self.keys = np.array(sorted(hashes), np.uint64)
+        self.numbers, self.weights = (np.array([self.table[hashes[int(k)]][c] for k in self.keys], t) for c, t in ((0, np.int32), (1, np.int64)))
+        self.ascii_ids = np.array([*(self.byte_ids[b] for b in range(128)), -1], np.int32)
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[self.keys >> np.uint64(44)] = True
+        self.words: dict[str, bytes] = {}
+        self.written = [p.replace(MARK, " ") for p in self.pieces]
+        for byte, i in self.byte_ids.items():
+            if byte < 0x80:
+                self.written[i] = chr(byte)
+        self.parts_of_characters = frozenset(i for b, i in self.byte_ids.items() if b >= 0x80)
 
     def edges(self, text: str, end: int) -> list[tuple[int, int]]:
         """(length, weight) of the pieces that end at ``end``; a character without a piece is an edge of its own."""
@@ -104,35 +136,118 @@ class Vocabulary:
         return [self.byte_ids[b] for b in (MARK if piece == OWN_MARK else piece).encode()]
 
     def path(self, text: str) -> tuple[list[int], int]:
-        """(ids, sum) of the best path over a whole text."""
-        best, back = [0], [0]
-        for end in range(1, len(text) + 1):
-            total, length = max((best[end - n] + w, n) for n, w in self.edges(text, end))
-            best.append(total)
-            back.append(length)
-        cuts, at = [], len(text)
+        """(ids, sum) of the best path over a whole text; of equal ones that with the longer last piece."""
+        size, longest, beginnings, unknown = len(text), self.longest, self.beginnings, self.unknown
+        best: list[int | None] = [0] + [None] * size
+        back = [0] * (size + 1)
+        for start in range(size):
+            so_far, end = best[start], start + 1
+            weight = beginnings.get(text[start])
+            if weight is None or weight is False:
+                total = so_far + unknown
+                if best[end] is None or total > best[end]:
+                    best[end], back[end] = total, start
+            while weight is not None:
+                if weight is not False:
+                    total = so_far + weight
+                    if best[end] is None or total > best[end]:
+                        best[end], back[end] = total, start
+                end += 1
+                if end > size or end - start > longest:
+                    break
+                weight = beginnings.get(text[start:end])
+        cuts, at = [], size
         while at:
-            cuts.append(text[at - back[at] : at])
-            at -= back[at]
-        return [i for piece in reversed(cuts) for i in self.ids(piece)], best[-1]
-
-    def word(self, word: str) -> tuple[list[int], int]:
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) >= KEPT:
-                self.words.clear()
-            found = self.path(word)
-            if len(word) <= 64:
-                self.words[word] = found
-        return found
+            cuts.append(text[back[at] : at])
+            at = back[at]
+        ids: list[int] = []
+        for piece in reversed(cuts):
+            found = self.table.get(piece)
+            if found:
+                ids.append(found[0])
+            else:
+                ids += self.ids(piece)
+        return ids, best[-1]
+
+    def solve(self, words: list[str]) -> tuple[list[bytes], np.ndarray]:
+        """(ids as 32-bit numbers, sum) of the best path of each word; all words take a step at a time."""
+        found: list[bytes] = [b""] * len(words)
+        sums = np.zeros(len(words), np.int64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        rest = np.flatnonzero((sizes > TOGETHER) & (sizes > 0)).tolist()
+        # The longest first: the words that are long enough for a step are the first so many.
+        order = np.argsort(-sizes, kind="stable")
+        order = order[(sizes[order] <= TOGETHER) & (sizes[order] > 0)]
+        if len(order):
+            own, n = sizes[order], len(order)
+            line = np.frombuffer("".join([words[i] for i in order]).encode("utf-32-le", "surrogatepass"), np.uint32)
+            starts = np.cumsum(own) - own
+            width = int(own[0])
+            sums_to = np.zeros((width + 1, n), np.uint64)
+            best = np.full((width + 1, n), FLOOR, np.int64)
+            best[0] = 0
+            back, used = np.zeros((width + 1, n), np.int8), np.full((width + 1, n), -1, np.int32)
+            for end in range(1, width + 1):
+                k = int(np.searchsorted(-own, -end, side="right"))
+                sums_to[end, :k] = sums_to[end - 1, :k] * _BASE + line[starts[:k] + end - 1]
+                total, step, piece = best[end, :k], back[end, :k], used[end, :k]
+                for length in range(min(end, self.longest), 0, -1):
+                    before = best[end - length, :k]
+                    keys = (sums_to[end, :k] - sums_to[end - length, :k] * _POWERS[length]) * _SPREAD + np.uint64(length)
+                    may = np.flatnonzero(self.seen[keys >> np.uint64(44)])
+                    at = np.minimum(np.searchsorted(self.keys, keys[may]), len(self.keys) - 1)
+                    hit = self.keys[at] == keys[may]
+                    may, at = may[hit], at[hit]
+                    made = before[may] + self.weights[at]
+                    better = made > total[may]
+                    may, at = may[better], at[better]
+                    total[may], step[may], piece[may] = made[better], length, self.numbers[at]
+                    if length == 1:
+                        # A character without a piece of its own: one byte piece if it is ASCII; words
+                        # with others are traced one by one.
+                        code = np.minimum(line[starts[:k] + end - 1], 128)
+                        lone = np.ones(k, bool)
+                        lone[np.flatnonzero(self.seen[keys >> np.uint64(44)])[hit]] = False
+                        made = before + self.unknown
+                        better = lone & (made > total)
+                        total[better], step[better], piece[better] = made[better], 1, self.ascii_ids[code[better]]
+            sums[order] = best[own, np.arange(n)]
+            out = np.full((n, width), -1, np.int32)
+            place, at, rows = np.full(n, width), own.copy(), np.arange(n)
+            strange = np.zeros(n, bool)
+            while len(rows):
+                place[rows] -= 1
+                ids = used[at[rows], rows]
+                strange[rows] |= ids < 0
+                out[rows, place[rows]] = ids
+                at[rows] -= back[at[rows], rows]
+                rows = rows[at[rows] > 0]
+            raw, row = out.tobytes(), 4 * width
+            for j, (i, first) in enumerate(zip(order.tolist(), place.tolist())):
+                found[i] = raw[j * row + 4 * first : (j + 1) * row]
+            rest += order[strange].tolist()
+        for i in rest:
+            ids, sums[i] = self.path(words[i])
+            found[i] = array("i", ids).tobytes()
+        return found, sums
+
+    def raw(self, texts: list[str]) -> list[bytes]:
+        """The pieces of whole texts as 32-bit numbers."""
+        known, split = self.words, []
+        for text in texts:
+            if text[:1] == " " or text[-1:] == " " or "  " in text:
+                split.append(words_of(marked(text)))
+            else:
+                split.append([MARK + w for w in text.replace(MARK, OWN_MARK).split(" ")] if text else [])
+        fresh = list({w for words in split for w in words if w not in known})
+        made = dict(zip(fresh, self.solve(fresh)[0]))
+        # The words met first are the frequent ones; they stay.
+        if len(known) < KEPT:
+            known.update((w, x) for w, x in made.items() if len(w) <= TOGETHER)
+        return [b"".join([known[w] if w in known else made[w] for w in words]) for words in split]
 
     def encode(self, text: str) -> list[int]:
-        """The pieces of a whole text."""
-        out: list[int] = []
-        known, look = self.words, self.word
-        for w in words_of(marked(text)):
-            out += (known.get(w) or look(w))[0]
-        return out
+        return np.frombuffer(self.raw([text])[0], np.int32).tolist()
 
     # A chunk is ``text[:size]`` followed by up to ``longest - 1`` characters of the next one.
 
@@ -165,7 +280,7 @@ class Vocabulary:
         if not tail:
             return self.sums(chunk, size, states)
         first = self.sums(head, len(head), states)[:, 0]
-        middle = sum(self.word(w)[1] for w in words)
+        middle = self.solve(words)[1].sum()
         last = self.sums(tail, size - (len(chunk) - len(tail)), 1)[0]
         out = first[:, None] + (middle + last)[None, :]
         return np.where((first[:, None] > FLOOR) & (last[None, :] > FLOOR), out, FLOOR)
@@ -173,22 +288,17 @@ class Vocabulary:
     def trace(self, chunk: str, size: int, entry: int, leave: int) -> list[int]:
         """The pieces that start in the chunk, on the best path between two states."""
         whole = chunk[entry : size + leave]
-        return [i for w in words_of(whole) for i in self.word(w)[0]]
+        return np.frombuffer(b"".join(self.solve(words_of(whole))[0]), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
-        out, raw = [], bytearray()
-        for i in ids:
-            byte = self.bytes_of.get(i)
-            if byte is None:
-                if raw:
-                    out.append(raw.decode("utf-8", "replace"))
-                    raw = bytearray()
-                out.append(self.pieces[i].replace(MARK, " "))
-            else:
-                raw.append(byte)
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out)
+        if self.parts_of_characters.isdisjoint(ids):
+            text = "".join([self.written[i] for i in ids])
+        else:
+            out = bytearray()
+            for i in ids:
+                byte = self.bytes_of.get(i)
+                out += self.written[i].encode() if byte is None else bytes([byte])
+            text = out.decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
 
@@ -308,8 +418,11 @@ def encode(docs: DataFrame, path: str | None = None, chunk: int = CHUNK) -> Data
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for b in batches:
-            made = [v.encode(x.as_py() or "") for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.list_(pa.int32()))], names=["row", "pieces"])
+            texts = [x or "" for x in b.column(1).to_pylist()]
+            made = [x for at in range(0, len(texts), AT_ONCE) for x in v.raw(texts[at : at + AT_ONCE])]
+            offsets = np.cumsum([0, *(len(x) // 4 for x in made)], dtype=np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), np.int32)))
+            yield pa.RecordBatch.from_arrays([b.column(0), ids], names=["row", "pieces"])
 
     schema = T.StructType([rows.schema["row"], T.StructField("pieces", T.ArrayType(T.IntegerType()))])
     coded = rows.where(~is_long).select("row", text.alias("text")).mapInArrow(short, schema)

@@ -64,7 +64,7 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     coded = pieces.encode(read(spark, folder, "documents"))
     back = pieces.decode(coded, "pieces", "decoded")
-    ids = F.concat_ws(",", F.transform("pieces", lambda x: x.cast("string")))
+    ids = F.col("pieces").cast("string")
     return back.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.size("pieces").cast("long").alias("n_pieces"),
         F.sha2(ids, 256).alias("pieces_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text"),

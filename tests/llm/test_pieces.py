@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from helpers import odd_docs, odd_frame, prose
 
@@ -113,3 +114,13 @@ def test_round_trip_in_spark(spark, monkeypatch, chunk, block):
 def test_small_chunks_are_refused(spark):
     with pytest.raises(ValueError):
         P.encode_long(spark.createDataFrame([], "doc_id long, dig long, text string"), P.model_path(), 5)
+
+
+def test_words_together_and_one_by_one():
+    v = P.Vocabulary(P.model_path())
+    words = sorted({w for t in texts() for w in P.words_of(P.marked(t))}) + ["▁" * 20, "x", "\ue000a", "▁日本", "a" * 40, "▁"]
+    found, sums = v.solve(words)
+    for w, raw, total in zip(words, found, sums):
+        ids, best = v.path(w)
+        assert best == total and np.frombuffer(raw, np.int32).tolist() == ids
+    assert v.solve([])[0] == []
