@@ -38,8 +38,8 @@ MARGIN = 0.25
 #: How steeply the score follows the gap in nats per character.
 STEEPNESS = 20.0
 UNKNOWN = "und"
-#: Words kept per task.
-KEPT = 200_000
+#: Words kept per task, about, and texts whose new words are looked up together.
+KEPT, AT_ONCE = 300_000, 500
 
 BEGIN, END = "\x02", "\x03"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -127,8 +127,6 @@ class Scorer:
 
     def learn_words(self, words: list[str]) -> None:
         """Costs of new words: sums over their n-grams, each distinct n-gram looked up once."""
-        if len(self.at) + len(words) > KEPT:
-            self.reset()
         first = len(self.at)
         while len(self.rows) < first + len(words):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
@@ -164,16 +162,18 @@ class Scorer:
         out = np.full((len(texts), len(self.models)), np.nan)
         if not self.models:
             return out
-        for i, text in enumerate(texts):
-            words = letters(text)
-            if not words:
-                continue
-            fresh = list({w: None for w in words if w not in self.at})
+        for at in range(0, len(texts), AT_ONCE):
+            split = [letters(t) for t in texts[at : at + AT_ONCE]]
+            if len(self.at) > KEPT:
+                self.reset()
+            fresh = list({w for words in split for w in words if w not in self.at})
             if fresh:
-                self.learn_words(fresh if len(self.at) + len(fresh) <= KEPT else list(dict.fromkeys(words)))
-            total = self.rows[[self.at[w] for w in words]].sum(axis=0)
-            if total[-1]:
-                out[i] = total[:-1] / total[-1]
+                self.learn_words(fresh)
+            for i, words in enumerate(split, at):
+                if words:
+                    total = self.rows[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))].sum(axis=0)
+                    if total[-1]:
+                        out[i] = total[:-1] / total[-1]
         return out
 
 
