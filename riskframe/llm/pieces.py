@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from riskframe.llm.common import batch, digest, packed
 from riskframe.sources.scratch import materialize
 
-CHUNK = 1 << 14
+CHUNK = 1 << 16
 #: Chunks whose matrices are multiplied as one block.
 BLOCK = 256
 #: Words kept per Python worker.
