@@ -43,7 +43,7 @@ CHUNK = 1 << 16
 #: Chunks whose matrices are multiplied as one block.
 BLOCK = 256
 #: Words kept per Python worker.
-KEPT = 300_000
+KEPT = 150_000
 
 MARK = "▁"
 #: Stands for a word mark of the text itself; it cannot occur in UTF-8.
@@ -58,8 +58,8 @@ def model_path(model: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(model)
 
 
-#: Words up to this length are solved together, texts so many at a time.
-TOGETHER, AT_ONCE = 24, 500
+#: Words up to this length are solved together, so many at a time; texts so many at a time.
+TOGETHER, SOLVED, AT_ONCE = 24, 1 << 14, 200
 _BASE, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 _POWERS = np.array([pow(int(_BASE), n, 1 << 64) for n in range(64)], np.uint64)
 
@@ -240,7 +240,9 @@ class Vocabulary:
             else:
                 split.append([MARK + w for w in text.replace(MARK, OWN_MARK).split(" ")] if text else [])
         fresh = list({w for words in split for w in words if w not in known})
-        made = dict(zip(fresh, self.solve(fresh)[0]))
+        made: dict[str, bytes] = {}
+        for at in range(0, len(fresh), SOLVED):
+            made.update(zip(fresh[at : at + SOLVED], self.solve(fresh[at : at + SOLVED])[0]))
         # The words met first are the frequent ones; they stay.
         if len(known) < KEPT:
             known.update((w, x) for w, x in made.items() if len(w) <= TOGETHER)
@@ -417,9 +419,9 @@ def encode(docs: DataFrame, path: str | None = None, chunk: int = CHUNK) -> Data
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        for b in batches:
-            texts = [x or "" for x in b.column(1).to_pylist()]
-            made = [x for at in range(0, len(texts), AT_ONCE) for x in v.raw(texts[at : at + AT_ONCE])]
+        parts = (b.slice(at, AT_ONCE) for b in batches for at in range(0, b.num_rows, AT_ONCE))
+        for b in parts:
+            made = v.raw([x or "" for x in b.column(1).to_pylist()])
             offsets = np.cumsum([0, *(len(x) // 4 for x in made)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), np.int32)))
             yield pa.RecordBatch.from_arrays([b.column(0), ids], names=["row", "pieces"])
@@ -441,6 +443,6 @@ def decode(coded: DataFrame, column: str = "pieces", into: str = "decoded", path
     @F.pandas_udf("string")
     def text_of(ids: pd.Series) -> pd.Series:
         v = vocabulary(path)
-        return pd.Series([v.decode([] if x is None else x.tolist()) for x in ids], dtype=object)
+        return ids.map(lambda x: v.decode([] if x is None else x.tolist()))
 
     return coded.withColumn(into, text_of(F.col(f"`{column}`")))
