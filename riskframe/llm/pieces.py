@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.common import batch, digest, packed
+from riskframe.llm.common import batch, digest, let, packed
 from riskframe.sources.scratch import materialize
 
 CHUNK = 1 << 16
@@ -437,12 +437,13 @@ def encode(docs: DataFrame, path: str | None = None, chunk: int = CHUNK) -> Data
 
 
 def decode(coded: DataFrame, column: str = "pieces", into: str = "decoded", path: str | None = None) -> DataFrame:
-    """Adds the text that an array of ids stands for; null ids give an empty text."""
-    path = path or model_path()
-
-    @F.pandas_udf("string")
-    def text_of(ids: pd.Series) -> pd.Series:
-        v = vocabulary(path)
-        return ids.map(lambda x: v.decode([] if x is None else x.tolist()))
-
-    return coded.withColumn(into, text_of(F.col(f"`{column}`")))
+    """Adds the text that an array of ids stands for; null ids give an empty text.
+
+    Native: every id's bytes, as hexadecimal digits, come from one constant array.
+    """
+    v = vocabulary(path or model_path())
+    digits = [bytes([v.bytes_of[i]]).hex() if i in v.bytes_of else w.encode().hex() for i, w in enumerate(v.written)]
+    table = F.split(F.lit(",".join(digits)), ",")
+    ids = F.coalesce(F.col(f"`{column}`"), F.array().cast("array<int>"))
+    text = F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), "")).cast("string")
+    return coded.withColumn(into, let(text, lambda t: F.when(t.startswith(" "), F.substring(t, 2, (1 << 31) - 1)).otherwise(t)))
