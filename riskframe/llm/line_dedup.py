@@ -6,7 +6,8 @@ to shards, each with a minimal perfect hash over one half of the line hash that
 fingerprint array (the other half), a count array and an array of the largest document id.
 Documents send their lines' hashes to the shards and get back the numbers of the lines to drop;
 lines themselves are never joined. A shard is read by as many lanes of documents as its lines'
-counts ask for, so a line that a third of all documents hold is spread over many tasks.
+counts ask for, so a line that a third of all documents hold is spread over many tasks; so are
+exact copies of a text, as the lane comes from id and text.
 
 Defined cases. A null or empty text is one empty line. A document is a row: repeated rows count
 as documents of their own and fare alike. A null id ranks below every other, and where all holders
@@ -127,25 +128,19 @@ def probe(asks: pd.DataFrame, arrays: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64").to_numpy(), "dig": rows["dig"].to_numpy(), "gone": [x.tolist() for x in np.split(number, firsts[1:])]})
 
 
-def lines_to_drop(docs: DataFrame, least: int = MIN_CHARS, often: int = MIN_DOCS) -> DataFrame:
-    """(doc_id, dig, gone): numbers, from 0, of the lines each document loses; documents that lose none are left out."""
-    often_held = materialize(line_counts(docs, least).where(F.col("n") >= often), "lines")
-    shards = max(1, math.ceil(often_held.count() / SHARD))
-    often_held = often_held.withColumn("shard", shard_of(F.col("hi"), shards))
-    arrays = materialize(
-        often_held.groupBy("shard").applyInPandas(build_shard, "shard int, lines long, sizes binary, bits binary, prints binary, counts binary, newest binary, named binary"),
-        "line-shards",
-    )
-    # One number per shard of SHARD lines comes to the driver: how many lanes of documents read it.
-    hits = dict(often_held.groupBy("shard").agg(F.sum("n")).collect())
-    share = docs.count() / shards
-    lanes = [max(4, math.ceil((share + hits.get(s, 0)) / LANE)) if s in hits else 0 for s in range(shards)]
+def asks_of(docs: DataFrame, least: int, lanes: list[int]) -> DataFrame:
+    """(shard, lane, doc_id, dig, number, hi, lo): what each document asks of each shard. ``lanes`` has the lanes of each shard, 0 where it holds no line."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lanes_of = np.array(lanes, np.int64)
+        lanes_of, shards = np.array(lanes, np.int64), len(lanes)
         for b in batches:
             out: list[list] = [[] for _ in range(7)]
-            for doc_id, dig, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            asked = set()
+            for doc_id, dig, spread, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
+                # Repeated rows get one answer, so one of them asks.
+                if (doc_id, dig) in asked:
+                    continue
+                asked.add((doc_id, dig))
                 found = list(line_hashes(text.as_py(), least))
                 if not found:
                     continue
@@ -154,16 +149,35 @@ def lines_to_drop(docs: DataFrame, least: int = MIN_CHARS, often: int = MIN_DOCS
                 for s in np.unique(of):
                     if lanes_of[s]:
                         own = of == s
-                        for x, v in zip(out, (s, dig % lanes_of[s], doc_id, dig, numbers[own], both[own, 0], both[own, 1])):
+                        for x, v in zip(out, (s, spread % lanes_of[s], doc_id, dig, numbers[own], both[own, 0], both[own, 1])):
                             x.append(v)
             yield batch(
                 shard=pa.array(out[0], pa.int32()), lane=pa.array(out[1], pa.int32()), doc_id=pa.array(out[2], pa.int64()), dig=pa.array(out[3], pa.int64()),
                 number=pa.array(out[4], pa.list_(pa.int32())), hi=pa.array(out[5], pa.list_(pa.int64())), lo=pa.array(out[6], pa.list_(pa.int64())),
             )
 
-    asks = docs.select(F.col("doc_id").cast("long"), digest(F.col("text")), F.col("text").cast("binary")).mapInArrow(
+    keyed = docs.select(F.col("doc_id").cast("long").alias("id"), digest(F.col("text")).alias("dig"), F.col("text").cast("binary").alias("body"))
+    # Copies of one text under many ids spread over the lanes.
+    return keyed.select("id", "dig", F.xxhash64("id", "dig"), "body").mapInArrow(
         ask, "shard int, lane int, doc_id long, dig long, number array<int>, hi array<long>, lo array<long>"
     )
+
+
+def lines_to_drop(docs: DataFrame, least: int = MIN_CHARS, often: int = MIN_DOCS) -> DataFrame:
+    """(doc_id, dig, gone): numbers, from 0, of the lines each document loses; documents that lose none are left out."""
+    often_held = materialize(line_counts(docs, least).where(F.col("n") >= often), "lines")
+    shards = max(1, math.ceil(often_held.count() / SHARD))
+    often_held = often_held.withColumn("shard", shard_of(F.col("hi"), shards))
+    arrays = materialize(
+        often_held.groupBy("shard").applyInPandas(build_shard, "shard int, lines long, sizes binary, bits binary, prints binary, counts binary, newest binary, named binary"),
+        "line-shards",
+    )
+    # One number per shard of SHARD lines comes to the driver: how many lanes of documents read it.
+    hits = dict(often_held.groupBy("shard").agg(F.sum("n")).collect())
+    share = docs.count() / shards
+    lanes = [max(4, math.ceil((share + hits.get(s, 0)) / LANE)) if s in hits else 0 for s in range(shards)]
+
+    asks = asks_of(docs, least, lanes)
     each = F.get(F.split(F.lit(",".join(map(str, lanes))), ",").cast("array<int>"), F.col("shard"))
     copies = arrays.withColumn("lane", F.explode(F.sequence(F.lit(0), each - 1)))
     gone = asks.groupBy("shard", "lane").cogroup(copies.groupBy("shard", "lane")).applyInPandas(probe_group, "doc_id long, dig long, gone array<int>")

@@ -51,6 +51,14 @@ def test_empty_table_and_nameless_holders(spark):
     assert [r.n_dropped for r in L.dedup(nameless).collect()] == [0] * 6
 
 
+def test_copies_spread_over_lanes(spark):
+    text = "a line of more than forty characters that many documents hold"
+    copies = spark.createDataFrame([*((i, text) for i in range(4000)), *[(None, text)] * 4000], "doc_id long, text string")
+    taken = [r["count"] for r in L.asks_of(copies, 40, [8]).groupBy("shard", "lane").count().collect()]
+    assert len(taken) == 8 and max(taken) < 1000
+    assert sum(taken) < 4100
+
+
 def test_perfect_hash_is_minimal():
     keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 5000, dtype=np.uint64))
     sizes, bits = perfect_hash.build(keys)
