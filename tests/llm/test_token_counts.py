@@ -45,3 +45,9 @@ def test_both_libraries_agree_on_latin(library):
     count = C.counter(C.tokenizer_path(), C.tokenizer_path("byte_bpe_50k.tiktoken"))
     assert count(texts) == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
     assert count(["日本語 “quoted” text", ""]) == [len(library.encode("日本語 “quoted” text").ids), 0]
+
+
+def test_long_runs_of_blanks(library):
+    texts = ["word " + " " * 1_200_000 + "end", "short", "\n" * 1_100_000, "a\t" + "\t \xa0" * 400_000]
+    count = C.counter(C.tokenizer_path(), C.tokenizer_path("byte_bpe_50k.tiktoken"))
+    assert count(texts) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
