@@ -6,8 +6,11 @@ with the weight of the next lower order. A text gets the language with the lowes
 character. Where even that is higher than all but 1 - ACCEPTED of the language's own texts had, on
 learning texts kept out of the counts, and by MARGIN nats, the prediction is marked as rejected.
 
-Learning takes a bounded sample: SAMPLE documents of each language (smallest hash of id and text),
-four in five for counting, the rest for calibration. Prediction covers every whole text.
+Learning counts the n-grams of every learning document in Spark: tasks add up their own words before
+the shuffle, and lower orders, discounts and context weights are aggregates of the n-grams' table.
+The models, one number per n-gram and context, come to the driver and go to every task. Only
+calibration takes a bounded sample: the SAMPLE documents of each language with the smallest hash of
+id and text, at most one in five, which are not counted. Prediction covers every whole text.
 
 Defined cases. A null text and one without a letter is ``und`` with score 0; so is every text where
 no language was learned. Ties go to the language first by code point. Rows with a null id are
@@ -25,12 +28,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from riskframe.llm.common import batch, digest
 from riskframe.sources.scratch import materialize
 
 ORDER = 5
+#: Documents of each language that are kept for calibration, at most.
 SAMPLE = 400
 SEED = 77
 ACCEPTED = 0.99
@@ -40,6 +43,8 @@ STEEPNESS = 20.0
 UNKNOWN = "und"
 #: Words kept per task, about, and texts whose new words are looked up together.
 KEPT, AT_ONCE = 300_000, 500
+#: A task passes its counts on after so many distinct words.
+HELD = 300_000
 
 BEGIN, END = "\x02", "\x03"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -90,6 +95,15 @@ class Model:
         self.grams, self.probs = self._sorted(probs)
         self.contexts, self.weights = self._sorted(weights)
 
+    @classmethod
+    def made(cls, alphabet: int, grams: tuple[np.ndarray, np.ndarray], contexts: tuple[np.ndarray, np.ndarray]) -> Model:
+        """From the hashes and numbers that ``model_tables`` gives, and the number of different characters."""
+        model = cls.__new__(cls)
+        model.uniform = 1.0 / (alphabet + 1)
+        model.grams, model.probs = cls._sorted([grams])
+        model.contexts, model.weights = cls._sorted([contexts])
+        return model
+
     @staticmethod
     def _sorted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         keys, values = np.concatenate([k for k, _ in parts]), np.concatenate([v for _, v in parts])
@@ -188,46 +202,119 @@ class Languages:
         self.names, self.models, self.limits = names, models, np.full(len(names), np.inf)
 
 
-def sample(docs: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """(lang, text, nth): at most ``size`` learning documents of each language, by hash.
+def learning(docs: DataFrame, size: int = SAMPLE) -> tuple[DataFrame, DataFrame]:
+    """(lang, text) of all learning documents to count, and of at most ``size`` of each language to calibrate by.
 
-    A language's documents are thinned by hash before they are ranked, so that no task ranks them all.
+    Repeated rows are one document: documents are numbered and thinned by distinct hashes.
     """
     may = ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull()
     rows = docs.where(may).select("lang", "text", F.xxhash64(F.lit(SEED), "doc_id", digest(F.col("text"))).alias("h"))
-    # One row per language comes to the driver.
-    total = dict(rows.groupBy("lang").count().collect())
-    share = F.create_map(*(x for lang, n in total.items() for x in (F.lit(lang), F.lit(min(1.0, (2 * size + 50) / n))))) if total else None
-    thin = rows.where(F.pmod("h", F.lit(1 << 20)) < F.element_at(share, F.col("lang")) * (1 << 20)) if total else rows.where(F.lit(False))
-    once = thin.groupBy("lang", "h").agg(F.first("text").alias("text"))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    return once.withColumn("nth", nth).where(F.col("nth") <= size).select("lang", "text", "nth")
+    keys = materialize(rows.select("lang", "h").distinct(), "language-keys")
+    # One row per language comes to the driver, then about 2 * size hashes of each.
+    total = dict(keys.groupBy("lang").count().collect())
+    bound = {lang: min((1 << 63) - 1, ((2 * size + 50) << 64) // n - (1 << 63)) for lang, n in total.items()}
+    least = keys.where(F.col("h") <= _each(bound, "long")).groupBy("lang").agg(F.sort_array(F.collect_list("h")).alias("h"))
+    last = {}
+    for lang, hashes in least.collect():
+        if taken := hashes[: min(size, total[lang] // 5)]:
+            last[lang] = taken[-1]
+    kept = F.coalesce(F.col("h") <= _each(last, "long"), F.lit(False))
+    once = lambda some: some.groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")
+    return once(rows.where(~kept)), once(rows.where(kept))
+
+
+def _each(values: dict, kind: str) -> Column:
+    """The value of the row's language, null where there is none."""
+    if not values:
+        return F.lit(None).cast(kind)
+    return F.try_element_at(F.create_map(*(x for lang, v in values.items() for x in (F.lit(lang), F.lit(v).cast(kind)))), F.col("lang"))
+
+
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """(lang, gram, n) of the ORDER-grams of all texts (lang, text)."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: dict[str, Counter] = {}
 
-def learn(docs: DataFrame, size: int = SAMPLE) -> Languages:
-    """Models of the languages of ``docs`` (doc_id, text, lang)."""
-    chosen = materialize(sample(docs, size), "language-sample")
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, own in words.items():
+                held: Counter = Counter()
+                for word, n in own.items():
+                    for gram in grams_of(word):
+                        held[gram] += n
+                yield batch(lang=pa.array([lang] * len(held), pa.string()), gram=pa.array(list(held), pa.string()), n=pa.array(list(held.values()), pa.int64()))
+            words.clear()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        size = 0
         for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for word, n in Counter(letters(text)).items():
-                    for gram in grams_of(word):
-                        held[lang, gram] += n
-        keys = list(held)
-        yield batch(lang=pa.array([k[0] for k in keys], pa.string()), gram=pa.array([k[1] for k in keys], pa.string()), n=pa.array(list(held.values()), pa.int64()))
-
-    counted = chosen.where("nth % 5 != 0").select("lang", "text").mapInArrow(count, "lang string, gram string, n long")
-    # The n-grams of a bounded sample; the models are built from them on the driver.
-    table = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    names, models = [], []
-    for lang, own in sorted(table.groupby("lang"), key=lambda x: x[0]):
-        names.append(lang)
-        models.append(Model(own["gram"].to_list(), own["n"].to_numpy(np.int64)))
-    languages = Languages(names, models)
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
+                own = words.setdefault(lang, Counter())
+                size -= len(own)
+                own.update(letters(text.as_py()))
+                size += len(own)
+                if size >= HELD:
+                    yield from flush()
+                    size = 0
+        yield from flush()
+
+    return texts.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def gram_tables(counted: DataFrame) -> DataFrame:
+    """(lang, order, gram, n) of all orders, from the counts of ORDER-grams.
+
+    Below the highest order an n-gram counts as often as it has different characters before it.
+    """
+    level = materialize(counted, f"grams-{ORDER}")
+    every = level.select("lang", F.lit(ORDER).alias("order"), "gram", "n")
+    for order in range(ORDER - 1, 0, -1):
+        level = materialize(level.groupBy("lang", F.substring("gram", 2, order).alias("gram")).agg(F.count("*").alias("n")), f"grams-{order}")
+        every = every.unionByName(level.select("lang", F.lit(order).alias("order"), "gram", "n"))
+    return every
+
+
+def model_tables(every: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lang, hash, value): discounted probabilities of n-grams, and weights of contexts."""
+    times = lambda n: F.sum(F.when(F.col("n") == n, 1).otherwise(0))
+    discount = F.when(times(1) > 0, times(1) / (times(1) + 2 * times(2))).otherwise(0.5)
+    # One row per language and order.
+    discounts = every.groupBy("lang", "order").agg(discount.alias("discount"))
+    own = every.join(F.broadcast(discounts), ["lang", "order"]).withColumn("context", F.expr("substring(gram, 1, order - 1)"))
+    taken = F.sum(F.least(F.col("n").cast("double"), "discount"))
+    contexts = own.groupBy("lang", "order", "context").agg(F.sum("n").alias("total"), (taken / F.sum("n")).alias("weight"))
+    prob = F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.col("total")
+    probs = own.join(contexts, ["lang", "order", "context"]).select("lang", "gram", prob.alias("prob"))
+    return hashed(probs, 0), hashed(contexts.select("lang", "context", "weight"), 1)
+
+
+def hashed(rows: DataFrame, tag: int) -> DataFrame:
+    """Rows (lang, gram or context, value) with the string's hash; the empty context of order 1 has hash 0."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            strings = b.column(1).to_pylist()
+            sizes, out = np.fromiter(map(len, strings), np.int64, len(strings)), np.zeros(len(strings), np.uint64)
+            for n in np.unique(sizes[sizes > 0]):
+                at = np.flatnonzero(sizes == n)
+                out[at] = gram_hashes(codes_of([strings[i] for i in at]), tag)
+            yield batch(lang=b.column(0), hash=pa.array(out.view(np.int64)), value=b.column(2).cast(pa.float32()))
+
+    return rows.mapInArrow(run, "lang string, hash long, value float")
+
+
+def learn(docs: DataFrame, size: int = SAMPLE) -> Languages:
+    """Models of the languages of ``docs`` (doc_id, text, lang)."""
+    texts, others = learning(docs, size)
+    every = gram_tables(gram_counts(texts))
+    alphabets = dict(every.where(F.col("order") == 1).groupBy("lang").count().collect())
+    parts = [
+        {lang: (own["hash"].to_numpy(np.int64).view(np.uint64), own["value"].to_numpy(np.float32)) for lang, own in table.toArrow().to_pandas().groupby("lang")}
+        for table in model_tables(every)
+    ]
+    names = sorted(alphabets)
+    languages = Languages(names, [Model.made(alphabets[lang], *(p[lang] for p in parts)) for lang in names])
     if names:
-        calibrate(languages, chosen.where("nth % 5 = 0"))
+        calibrate(languages, others)
     return languages
 
 
