@@ -7,8 +7,14 @@ below and above the middle, and a test of the serial correlation of neighbouring
 any of them finds non-uniform at STRICT is no secret. Against ordinary text: the probability that
 characters drawn as the corpus draws them, within that alphabet, are spread as evenly as the token's.
 Short tokens can't tell the two apart and get a large probability, so length is accounted for; over
-all tokens of a length class the Benjamini-Hochberg rule then holds the share of false discoveries
-at FALSE. What passes and overlaps no span of the fixed kinds is added as kind ``random``.
+all tested tokens of a length class the Benjamini-Hochberg rule then holds the share of false
+discoveries at FALSE, and what passes is added as kind ``random``. Tokens that overlap a span of the
+fixed kinds are not tested and count in no class.
+
+Power, measured with sf0.01's characters on random base64 tokens that are alone in their class: 43 %
+pass at 20 characters, 72 % at 22, 87 % at 24, 99 % at 32, all of 1,500 at 40. The median
+probability is 0.012, 0.006, 0.004, 0.0009 and 0.0001. Among m tested tokens a single one passes
+only below FALSE / m, so tokens under about 24 characters are found only where they are many.
 
 The means and variances of the count statistic are exact for multinomial draws. The corpus gives the
 tasks 256 character counts, and the driver one histogram of probabilities per length class.
@@ -155,9 +161,11 @@ def scanned(docs: DataFrame) -> DataFrame:
                     while edges and edges[0][1] <= start:
                         taken = max(taken, edges.pop(0)[1])
                     free = taken <= start and not any(s < end for s, e in edges[:4] if e > start)
+                    if not free:
+                        continue
                     uniform, ordinary = battery(m.group(), sums)
-                    # Every token counts in its class; those that can't be secrets with probability 1.
-                    p = ordinary if free and uniform >= STRICT else 1.0
+                    # Every tested token counts in its class; those that can't be secrets with probability 1.
+                    p = ordinary if uniform >= STRICT else 1.0
                     found.append((start, end, length_class(end - start), tenth(p)))
                 spans.append(own)
                 tokens.append(found)

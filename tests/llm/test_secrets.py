@@ -2,6 +2,7 @@ import random
 import re
 import string
 
+import pytest
 from helpers import odd_docs, odd_frame, prose
 
 from riskframe.llm import secrets as S
@@ -70,3 +71,14 @@ def test_odd_documents(spark):
     docs = odd_frame(spark)
     assert S.find_secrets(docs).count() == len(odd_docs())
     assert S.find_secrets(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("size", [32, 40])
+def test_one_key_amid_many_digests(spark, size):
+    rng = random.Random(3)
+    rows = [(i, f"{prose(rng, 60)} {random_token(rng, string.digits + 'abcdef', 40)}") for i in range(900)]
+    key = random_token(rng, string.ascii_letters + string.digits + "+/", size)
+    rows.append((1000, f"{prose(rng, 9)} ({key}) {prose(rng, 5)}"))
+    found = {r.doc_id: r for r in S.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [d for d, r in found.items() if any(s.kind == "random" for s in r.spans)] == [1000]
+    assert all(len(found[i].base) == 1 for i in range(900))
