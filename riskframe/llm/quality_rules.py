@@ -22,8 +22,6 @@ from riskframe.llm.common import let, words
 
 #: Buckets of either kind of n-gram. The model is this many doubles twice, whatever the corpus.
 BUCKETS = 1 << 14
-#: At most so many trusted documents (those with the smallest hash of their id) are counted.
-TRUSTED = 20_000
 #: Pseudo-count of the corpus' own distribution in the trusted one.
 PRIOR = 1_000.0
 #: A document is kept from this mean log ratio on.
@@ -81,20 +79,20 @@ def hashes(found: Column) -> Column:
     return F.transform(found, lambda w: F.xxhash64(w))
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED) -> DataFrame:
-    """Ids of documents labelled good and not toxic, at most ``limit`` of them."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all documents labelled good and not toxic."""
     good = labels.where((F.col("quality") == 1) & (F.col("toxic") == 0) & F.col("doc_id").isNotNull())
-    return good.select(F.col("doc_id").alias("trusted_id")).distinct().orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(limit)
+    return good.select(F.col("doc_id").alias("trusted_id")).distinct()
 
 
 def ratio_model(docs: DataFrame, trusted: DataFrame) -> list[float]:
     """The log ratio of each bucket: 2 * BUCKETS numbers, whatever the corpus.
 
     Every n-gram of every document is counted; tasks add up their own counts before the shuffle.
-    ``trusted`` has at most TRUSTED ids and is broadcast.
+    ``trusted`` may grow with the corpus, so it is joined by a shuffle unless Spark finds it small.
     """
     rows = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
-    rows = rows.join(F.broadcast(trusted.withColumn("good", F.lit(1))), F.col("id") == F.col("trusted_id"), "left")
+    rows = rows.join(trusted.withColumn("good", F.lit(1)), F.col("id") == F.col("trusted_id"), "left")
     gram = features(hashes(words(F.col("body"))), hashes(shapes(F.col("body"))))
     grams = rows.select("good", F.explode(gram).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("good").alias("good"))

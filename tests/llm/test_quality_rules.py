@@ -43,6 +43,15 @@ def test_unlike_the_trusted_goes_and_the_clean_stay(spark):
     assert Q.filter_quality(docs, trusted.limit(0)).count() == 430
 
 
+def test_all_trusted_documents_count(spark):
+    many = spark.range(20_500).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    trusted = Q.trusted_ids(many.unionByName(many.limit(10)))
+    assert trusted.count() == 20_500
+    docs = many.selectExpr("doc_id", "concat('w', doc_id % 3, ' the river and the stone') AS text")
+    # Every document is trusted: n-grams that occur are as likely in both multinomials, but for smoothing.
+    assert all(abs(r.score) < 0.5 for r in Q.quality_report(docs, trusted).collect())
+
+
 def test_plan_is_native_and_empty_tables_work(spark):
     docs = odd_frame(spark)
     trusted = Q.trusted_ids(labels(spark, [(0, 1, 0, 1)]))
