@@ -41,10 +41,10 @@ LENGTH = 400
 GRAM = 100
 #: Batches that a whole table is taken in.
 BATCHES = 3
-#: Contexts of one beginning that one task compares at once.
-HELD = 1 << 16
 #: Bytes hashed at a time, and contexts compared at a time.
 STRETCH, AT_ONCE = 1 << 22, 4096
+#: Contexts of one beginning that are gathered; more are counted.
+HELD = AT_ONCE
 #: Longer texts are hashed in overlapping stretches.
 CUT = STRETCH
 
@@ -269,7 +269,7 @@ def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = list(zip(*out)) or [[], [], [], []]
         return batch(id=pa.array(columns[0], pa.int64()), dig=pa.array(columns[1], pa.int64()), lo=pa.array(columns[2], pa.int64()), hi=pa.array(columns[3], pa.int64()))
 
-    for b in batches:
+    for b in (whole.slice(at, AT_ONCE) for whole in batches for at in range(0, whole.num_rows, AT_ONCE)):
         held.extend(zip(*(b.column(c).to_pylist() for c in range(8))))
         if len(held) >= AT_ONCE:
             # All but the last beginning, which may go on.

@@ -73,3 +73,13 @@ def test_family_merges_geometrically(spark):
 
 def test_empty_table(spark):
     assert X.dedup(odd_frame(spark).limit(0)).collect() == []
+
+
+def test_contexts_compared_at_once_are_few(monkeypatch):
+    assert X.HELD <= X.AT_ONCE
+    sizes = []
+    monkeypatch.setattr(X, "run_hashes", lambda lefts, raws: (sizes.append(len(raws)), np.zeros((len(raws), X._REACH + 1), np.uint64))[1])
+    n = 10_000
+    rows = X.batch(beginning=[i // 2000 for i in range(n)], n=[1] * n, kinds=[2000] * n, id=list(range(n)), dig=[0] * n, pos=[0] * n, left=[0] * n, bytes=[b"x"] * n)
+    assert sum(b.num_rows for b in X.compared(iter([rows]))) == 0
+    assert sum(sizes) == n and max(sizes) < X.HELD + X.AT_ONCE
