@@ -3,12 +3,12 @@
 The suffix arrays are sparse. In every run of 400 bytes the 100-byte string with the smallest hash
 is an anchor (the first of equals), so two equal runs have their anchors at one and the same offset,
 and only suffixes that start at anchors are indexed, about one in 150. A suffix entry holds the hash
-of its first 100 bytes, by which entries are ordered and equal beginnings meet, and the hash of its
+of its first 100 bytes, by which equal beginnings meet in a grouping (levels are not ordered), and the hash of its
 context: all bytes that 400-byte runs over the anchor can reach, 300 before it and 400 from it.
 
 Batches of documents get an array each. Arrays form a logarithmic family: a new one becomes a level of
 its own, and levels of one size class are merged into the next class, so an entry is rewritten a
-logarithmic number of times. A scan over all levels, merged by order, finds the long matches:
+logarithmic number of times. One scan over all levels, after the last batch, finds the long matches:
 
 * entries with equal contexts: every run over these anchors occurs elsewhere, nothing is compared;
 * entries with equal beginnings in different contexts: one context of each kind is fetched, and the
