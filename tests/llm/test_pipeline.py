@@ -46,3 +46,12 @@ def test_stages_take_odd_and_empty_documents(spark, tmp_path):
             out = stage(spark, docs, str(tmp_path))
             assert out.columns == [*docs.columns, "pieces"][: len(out.columns)] and set(docs.columns) <= set(out.columns)
             out.collect()
+
+
+def test_last_stage_decodes(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a whole text"), (2, None)], "doc_id long, text string")
+    assert corpus_pipeline.encoded(spark, docs, "").count() == 2
+    decode = corpus_pipeline.pieces.decode
+    monkeypatch.setattr(corpus_pipeline.pieces, "decode", lambda coded, column, into: decode(coded.limit(0), column, into).unionByName(coded.selectExpr("*", f"'other' AS `{into}`")))
+    with pytest.raises(Exception, match="do not decode"):
+        corpus_pipeline.encoded(spark, docs, "").collect()
