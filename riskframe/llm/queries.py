@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import language_id, line_dedup, mixing, pieces, quality_rules, secrets, simhash, suffix_dedup, token_counts, topk
+from riskframe.llm import language_id, line_dedup, mixing, packing, pieces, quality_rules, secrets, simhash, suffix_dedup, token_counts, topk
 from riskframe.llm.common import read
 from riskframe.sources.scratch import scratch_path
 
@@ -117,3 +117,8 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = suffix_dedup.dedup(read(spark, folder, "documents"))
     return cut.select(F.col("row.doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+@query
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents")).drop("ids")
