@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import language_id, line_dedup, mixing, packing, pieces, quality_rules, secrets, simhash, suffix_dedup, token_counts, topk
+from riskframe.llm import conversation_trie, language_id, line_dedup, mixing, packing, pieces, quality_rules, secrets, simhash, suffix_dedup, token_counts, topk
 from riskframe.llm.common import read
 from riskframe.sources.scratch import scratch_path
 
@@ -122,3 +122,8 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents")).drop("ids")
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.trie(read(spark, folder, "conversations"))
