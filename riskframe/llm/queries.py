@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import conversation_trie, language_id, line_dedup, mixing, packing, pieces, quality_rules, secrets, simhash, suffix_dedup, token_counts, topk
+from riskframe.llm import conversation_trie, hard_negatives, language_id, line_dedup, mixing, packing, pieces, quality_rules, secrets, simhash, suffix_dedup, token_counts, topk
 from riskframe.llm.common import read
 from riskframe.sources.scratch import scratch_path
 
@@ -127,3 +127,31 @@ def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie.trie(read(spark, folder, "conversations"))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "embeddings")
+    return hard_negatives.mine(rows.withColumn("label", hard_negatives.moved_label()))
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS vec FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+parts AS (SELECT vec_id, label, unnest(vec) AS x, generate_subscripts(vec, 1) AS i FROM v),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, any_value(a.label) = any_value(c.label) AS same, CAST(sum(a.x * c.x) AS BIGINT) AS score
+  FROM parts a JOIN parts c ON a.i = c.i AND a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0 GROUP BY 1, 2),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+near AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM near WHERE rank <= 10
+"""
