@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import riskframe as R
-from queries import query
+from queries import ORACLES, query
 
 TARGET = "fraud_bool"
 
@@ -708,90 +708,104 @@ def leakage_findings(spark, sf):
 
 # --- everything ---------------------------------------------------------------------------------
 
-_COUNTED = {
-    "overview": ("size", f"SELECT NULL AS c, NULL AS i, 'n' AS m, count(*) AS v FROM lines"),
-    "data_quality": (
-        "columns",
-        " UNION ALL ".join(
-            f"SELECT '{c}', NULL, 'missing', count(*) - count({c}) FROM lines" for c in COLUMNS
-        ),
-    ),
-    "feature_profile": (
-        "columns",
-        " UNION ALL ".join(
-            f"SELECT '{c}', NULL, 'distinct', count(DISTINCT {c}) FROM lines" for c in COLUMNS
-        ),
-    ),
-    "target": ("balance", "SELECT NULL, NULL, 'positives', count(*) FROM lines WHERE fraud_bool = 1"),
-    "categorical": (
-        "counts",
-        " UNION ALL ".join(
-            f"(SELECT '{c}', CAST({c} AS VARCHAR) AS value, 'n', count(*) AS n FROM lines "
-            f"GROUP BY {c} ORDER BY n DESC, value NULLS LAST LIMIT 15)"
-            for c in CATEGORICAL
-        ),
-    ),
-    "numeric": (
-        "summary",
-        " UNION ALL ".join(
-            f"SELECT '{c}', NULL, 'n', count({c}) FROM lines" for c in CONTINUOUS
-        ),
-    ),
-    "temporal": (
-        "periods",
-        " UNION ALL ".join(
-            f"SELECT '{c}', CAST({c} AS VARCHAR), 'n', count(*) FROM lines GROUP BY {c}"
-            for c in ("ship_month", "ship_year")
-        ),
-    ),
-    "relationships": (
-        "numbers",
-        " UNION ALL ".join(
-            f"SELECT '{c}', NULL, 'pos_n', count({c}) FROM lines WHERE fraud_bool = 1"
-            for c in CONTINUOUS
-        ),
-    ),
-    "outliers": (
-        "fences",
-        " UNION ALL ".join(
-            f"SELECT '{c}', NULL, 'outliers', count(*) FILTER ({c} < q1 - 1.5 * (q3 - q1) "
-            f"OR {c} > q3 + 1.5 * (q3 - q1)) FROM lines, (SELECT quantile_cont({c}, 0.25) AS q1, "
-            f"quantile_cont({c}, 0.75) AS q3 FROM lines)"
-            for c in CONTINUOUS
-        ),
-    ),
-    "leakage": ("findings", "SELECT 'constant', 'constant', 'n', count(*) FROM lines"),
-}
+_KINDS = dict(zip(COLUMNS, ("bigint", "bigint", "int", *["double"] * 5, "string", "string", *["int"] * 4)))
 
 
-@query(
-    "a33_run_all",
-    f"WITH {LINES} "
-    + " UNION ALL ".join(
-        f"SELECT '{analysis}' AS analysis, '{part}' AS part, c AS \"column\", i AS item, "
-        f"m AS metric, CAST(v AS VARCHAR) AS value, 'ok' AS status FROM ({sql}) AS t(c, i, m, v)"
-        for analysis, (part, sql) in _COUNTED.items()
-    ),
+def _number(c: str, sql: str) -> str:
+    return sql.format(c=c) if c in NUMBERS else "NULL"
+
+
+def _of_lines(columns, template: str) -> str:
+    return " UNION ALL ".join(template.format(c=c) for c in columns)
+
+
+_POSITION = "min({{'a': order_key, 'b': line_number, 'c': part_key, 'd': price}})"
+_SEEN = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS n, "
+    f"count(*) FILTER (fraud_bool = 1) AS positives, {_POSITION.format()} AS first FROM lines GROUP BY {c}"
+    for c in CATEGORICAL
 )
+_BEST = f"""(SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, first) AS rank,
+    count(*) OVER (PARTITION BY "column") AS categories, sum(n) OVER (PARTITION BY "column") AS total FROM ({_SEEN}))"""
+_LINE_FENCES = _of_lines(
+    CONTINUOUS,
+    "SELECT *, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM (SELECT '{c}' AS \"column\", "
+    "quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3, median({c}) AS m, count({c}) AS n FROM lines)",
+)
+_LINE_CELLS = _of_lines(CONTINUOUS, "SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS v FROM lines WHERE {c} IS NOT NULL")
+#: Every table of the report as SQL over ``lines``: the column that names an item, numbers, texts, rows.
+_REPORT = {
+    "overview.size": (None, "n columns", "", 'SELECT NULL AS "column", count(*) AS n, 14 AS "columns" FROM lines'),
+    "overview.columns": (None, "ordinal", "type", " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {i} AS ordinal, '{t}' AS type" for i, (c, t) in enumerate(_KINDS.items()))),
+    "data_quality.columns": (None, "missing missing_share neg_one other_negative", "is_constant", " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing, 1 - count({c}) / count(*) AS missing_share, "
+        f"count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) <= 1 AS is_constant, "
+        f"{_number(c, 'count(*) FILTER ({c} = -1)')} AS neg_one, "
+        f"{_number(c, 'count(*) FILTER ({c} < 0 AND {c} <> -1)')} AS other_negative FROM lines" for c in COLUMNS)),
+    "data_quality.duplicates": (None, "n duplicates share", "",
+        "SELECT NULL AS \"column\", sum(k) AS n, sum(k - 1) AS duplicates, sum(k - 1) / sum(k) AS share "
+        "FROM (SELECT count(*) AS k FROM lines GROUP BY " + ", ".join(COLUMNS) + ")"),
+    "feature_profile.columns": (None, "distinct missing missing_share mean std min max", "type", " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{t}' AS type, count(DISTINCT {c}) AS \"distinct\", count(*) - count({c}) AS missing, "
+        f"1 - count({c}) / count(*) AS missing_share, {_number(c, 'avg({c})')} AS mean, {_number(c, 'stddev_samp({c})')} AS std, "
+        f"{_number(c, 'min({c})')} AS min, {_number(c, 'max({c})')} AS max FROM lines" for c, t in _KINDS.items())),
+    "feature_profile.most_common": ("value", "categories n", "", f"""SELECT * FROM (SELECT "column", value, n,
+        row_number() OVER (PARTITION BY "column" ORDER BY n DESC, first) AS k, count(*) OVER (PARTITION BY "column") AS categories
+        FROM ({_SEEN}) WHERE value IS NOT NULL AND "column" IN ('flag', 'status')) WHERE k = 1"""),
+    "target.counts": ("value", "n share", "", """SELECT NULL AS "column", fraud_bool AS value, count(*) AS n,
+        count(*) / (SELECT count(*) FROM lines) AS share FROM lines GROUP BY fraud_bool"""),
+    "target.balance": (None, "n positives negatives positive_rate negative_rate imbalance_ratio", "", """SELECT NULL AS "column",
+        n, p AS positives, n - p AS negatives, p / n AS positive_rate, (n - p) / n AS negative_rate, (n - p) / p AS imbalance_ratio
+        FROM (SELECT count(*) AS n, count(*) FILTER (fraud_bool = 1) AS p FROM lines)"""),
+    "categorical.counts": ("value", "n share positive_rate rank categories hidden", "", f"""SELECT "column", value, n, n / total AS share,
+        positives / n AS positive_rate, rank, categories, greatest(categories - 15, 0) AS hidden FROM {_BEST} WHERE rank <= 15"""),
+    "numeric.summary": (None, "n mean median std min max p5 p25 p75 p95 zeros zero_share neg_ones neg_one_share", "", f"SELECT * FROM ({_SUMMARY})"),
+    "temporal.periods": ("period", "n share positive_rate", "", _of_lines(
+        ("ship_month", "ship_year"),
+        "SELECT '{c}' AS \"column\", {c} AS period, count(*) AS n, count(*) / (SELECT count(*) FROM lines) AS share, "
+        "count(*) FILTER (fraud_bool = 1) / count(*) AS positive_rate FROM lines GROUP BY {c}")),
+    "temporal.row_order": (None, "", "direction", " UNION ALL ".join(
+        _ORDER.format(name=c, value=c, by="order_key, line_number, part_key, price", table="lines") for c in ("ship_month", "ship_year"))),
+    "relationships.categories": ("value", "n positive_rate rank", "",
+        f'SELECT "column", value, n, positives / n AS positive_rate, rank FROM {_BEST} WHERE rank <= 8'),
+    "relationships.numbers": (None, "pos_n pos_mean pos_median neg_n neg_mean neg_median", "comparable", f"SELECT * FROM ({ORACLES['a24_label_by_numeric']})"),
+    "outliers.fences": (None, "q1 q3 lower upper n outliers share", "", f"""SELECT *, outliers / n AS share FROM (
+        SELECT f."column", q1, q3, lower, upper, n, sum(CAST(v < lower OR v > upper AS INTEGER)) AS outliers
+        FROM ({_LINE_FENCES}) f JOIN ({_LINE_CELLS}) x ON f."column" = x."column" GROUP BY ALL)"""),
+    "outliers.extremes": ("value", "distance rank", "", f"""SELECT * FROM (SELECT f."column", v AS value, abs(v - m) AS distance,
+        row_number() OVER (PARTITION BY f."column" ORDER BY abs(v - m) DESC, v DESC) AS rank
+        FROM ({_LINE_FENCES}) f JOIN ({_LINE_CELLS}) x ON f."column" = x."column" WHERE v < lower OR v > upper) WHERE rank <= 5"""),
+    "leakage.findings": ("check", "n statistic", "detail", """SELECT 'constant' AS "check", 'constant' AS "column", count(*) AS n,
+        NULL AS statistic, 'one value only, no signal' AS detail FROM lines"""),
+}
+
+
+def _report_sql() -> str:
+    parts = []
+    for name, (item, numbers, texts, sql) in _REPORT.items():
+        analysis, part = name.split(".")
+        for metric in (*numbers.split(), *texts.split()):
+            number = f'round(CAST("{metric}" AS DOUBLE), 4) + 0.0' if metric in numbers.split() else "CAST(NULL AS DOUBLE)"
+            text = f'CAST("{metric}" AS VARCHAR)' if metric in texts.split() else "CAST(NULL AS VARCHAR)"
+            named = f'CAST("{item}" AS VARCHAR)' if item else "CAST(NULL AS VARCHAR)"
+            parts.append(f"""SELECT '{analysis}' AS analysis, '{part}' AS part, CAST("column" AS VARCHAR) AS "column", {named} AS item,
+                '{metric}' AS metric, {number} AS number, {text} AS text, 'ok' AS status FROM {name.replace('.', '_')}""")
+    tables = ", ".join(f"{name.replace('.', '_')} AS MATERIALIZED ({sql})" for name, (*_, sql) in _REPORT.items())
+    return f"WITH {LINES}, {tables} " + " UNION ALL ".join(parts)
+
+
+@query("a33_run_all", _report_sql())
 def run_everything(spark, sf):
-    kept = {
-        "overview": ("size", "n"), "data_quality": ("columns", "missing"),
-        "feature_profile": ("columns", "distinct"), "target": ("balance", "positives"),
-        "categorical": ("counts", "n"), "numeric": ("summary", "n"), "temporal": ("periods", "n"),
-        "relationships": ("numbers", "pos_n"), "outliers": ("fences", "outliers"),
-        "leakage": ("findings", "n"),
-    }
-    every = R.run_all(lines(spark, sf), TARGET, order_by=["order_key", "line_number", "part_key", "price"])
-    bad = [tuple(r) for r in every.status.collect() if r.status != "ok"]
-    if bad or "temporal.row_order" not in every.tables:
-        raise RuntimeError(f"not every analysis ran: {bad}")
-    long = every.long
-    chosen = F.lit(False)
-    for analysis, (part, metric) in kept.items():
-        chosen = chosen | (
-            (F.col("analysis") == analysis) & (F.col("part") == part) & (F.col("metric") == metric)
-        )
-    return long.filter(chosen)
+    """All tables of the report with every metric, numbers rounded."""
+    every = R.run_all(lines(spark, sf), TARGET, order_by=["order_key", "line_number", "part_key", "price"], materialize_input=True)
+    texts = F.concat(F.col("analysis"), F.lit("."), F.col("part"), F.lit(" "), F.col("metric")).isin(
+        [f"{name} {metric}" for name, (_, _, words, _) in _REPORT.items() for metric in words.split()]
+    )
+    number = F.round(F.when(~texts, F.col("value")).cast("double"), 4) + F.lit(0.0)
+    return every.long.select(
+        "analysis", "part", "column", "item", "metric", number.alias("number"), F.when(texts, F.col("value")).alias("text"), "status"
+    )
 
 
 @query(

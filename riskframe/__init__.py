@@ -12,7 +12,6 @@ from riskframe.operators.leakage import (
     constant_features,
     high_correlations,
     label_correlations,
-    leakage_findings,
     majority_positive_categories,
     near_duplicates,
 )
@@ -55,6 +54,7 @@ from riskframe.operators.validation import (
     valid_records,
     validate,
 )
+from riskframe.plans.findings import leakage_findings
 from riskframe.plans.ingest import IngestResult, Source, ingest, ingest_folder
 from riskframe.plans.run_all import run_all
 from riskframe.sources.files import (

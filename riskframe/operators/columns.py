@@ -118,3 +118,8 @@ def rows_from(one_row: DataFrame, structs: Sequence[Column], schema: str) -> Dat
     if not structs:
         return one_row.sparkSession.createDataFrame([], schema)
     return one_row.select(F.inline(F.array(*structs)))
+
+
+def held(df: DataFrame) -> DataFrame:
+    """A table of a few rows per column, worked out once and kept as rows in one partition."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema).coalesce(1)

@@ -12,9 +12,6 @@ from riskframe.contract import (
     LEAKY_MIN_LIFT,
     LEAKY_MIN_RATE,
     LEAKY_MIN_ROWS,
-    MAX_CATEGORIES,
-    MAX_PERIODS,
-    PERIOD_JUMP,
 )
 from riskframe.functions import share
 from riskframe.operators.categories import value_counts
@@ -26,12 +23,9 @@ from riskframe.operators.columns import (
     require,
 )
 from riskframe.operators.profile import presence
-from riskframe.operators.roles import period_columns, split_columns
-from riskframe.operators.temporal import period_shifts
-from riskframe.sources.scratch import materialize
 
 
-def _pearson(x: Column, y: Column) -> Column:
+def pearson(x: Column, y: Column) -> Column:
     # ``corr`` would raise a division by zero on a constant under ANSI rules; here it has no
     # value.
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
@@ -58,7 +52,7 @@ def label_correlations(
         df.filter(y.isNotNull()), {c: number_of(df, c) for c in columns}, "x", {"y": y}
     )
     return pairs.groupBy("column").agg(
-        F.count(F.lit(1)).alias("n"), _pearson(F.col("x"), F.col("y")).alias("r")
+        F.count(F.lit(1)).alias("n"), pearson(F.col("x"), F.col("y")).alias("r")
     )
 
 
@@ -79,15 +73,17 @@ def majority_positive_categories(
     min_rate: float = LEAKY_MIN_RATE,
     min_lift: float = LEAKY_MIN_LIFT,
     counts: DataFrame | None = None,
+    baseline: float | None = None,
 ) -> DataFrame:
     """Categories with many positives, both in absolute terms and against the base rate.
 
     The category's rate counts a missing label as negative, the base rate leaves it out.
-    Without any positive label the lift is infinite.
+    Without any positive label the lift is infinite. ``counts`` and ``baseline`` are the columns' value
+    counts and the mean label where they are at hand.
     """
     if counts is None:
         counts = value_counts(df, columns, target, positive)
-    base = df.agg(F.avg(label_value(df, target, positive)).alias("base")).scalar()
+    base = F.lit(baseline) if baseline is not None else df.agg(F.avg(label_value(df, target, positive)).alias("base")).scalar()
     rated = counts.filter(F.col("n") >= min_rows).select(
         "column", "value", "n",
         share(F.col("positives"), F.col("n")).alias("positive_rate"),
@@ -142,93 +138,3 @@ def confirmed_duplicates(
         ]
     ).first()
     return [pair for i, pair in enumerate(pairs) if row[f"p{i}"] is not False]
-
-
-def _tidy(check: str, df: DataFrame, detail: str, value=None, n="n", statistic=None) -> DataFrame:
-    none = F.lit(None)
-    return df.select(
-        F.lit(check).alias("check"),
-        "column",
-        (none if value is None else F.col(value)).cast("string").alias("value"),
-        (none if n is None else F.col(n)).cast("bigint").alias("n"),
-        (none if statistic is None else F.col(statistic)).cast("double").alias("statistic"),
-        F.lit(detail).alias("detail"),
-    )
-
-
-def leakage_findings(
-    df: DataFrame,
-    target: str,
-    positive=1,
-    max_categories: int = MAX_CATEGORIES,
-    max_periods: int = MAX_PERIODS,
-    correlation: float = HIGH_CORRELATION,
-    min_rows: int = LEAKY_MIN_ROWS,
-    min_rate: float = LEAKY_MIN_RATE,
-    min_lift: float = LEAKY_MIN_LIFT,
-    jump: float = PERIOD_JUMP,
-    counts: DataFrame | None = None,
-    roles: tuple[Sequence[str], Sequence[str]] | None = None,
-    periods: Sequence[str] | None = None,
-    constants: DataFrame | None = None,
-) -> DataFrame:
-    """All checks in one tidy table; a single row ``none`` says that nothing was found.
-
-    Roles, periods, category counts and constants are taken where they are at hand. The findings
-    are written down, so that reading them, and asking whether there are any, runs nothing twice.
-    """
-    require(df, target)
-    categorical, continuous = roles or split_columns(df, [target], max_categories)
-    periods = list(period_columns(df, max_periods) if periods is None else periods)[:1]
-
-    features = [*categorical, *continuous]
-    constant = constant_features(df, features) if constants is None else constants
-    r = label_correlations(df, continuous, target, positive)
-    findings = [
-        _tidy("constant", constant, "one value only, no signal"),
-        _tidy(
-            "correlation",
-            r.withColumn("r", F.abs("r")).filter(F.col("r") > correlation),
-            "moves with the label",
-            statistic="r",
-        ),
-    ]
-    if categorical:
-        leaky = majority_positive_categories(
-            df, categorical, target, positive, min_rows, min_rate, min_lift, counts
-        )
-        findings.append(
-            _tidy(
-                "category", leaky, "mostly positive, far above the base rate", "value", "n",
-                "positive_rate",
-            )
-        )
-    copies = near_duplicates(df, continuous)
-    findings.append(
-        _tidy("duplicate", copies, "same values as another column", "duplicate_of", None)
-    )
-    for name in periods:
-        shifts = period_shifts(df, name, target, positive, jump)
-        findings.append(
-            _tidy(
-                "period_shift", shifts, "label rate jumps from the period before", "period", "n",
-                "change",
-            )
-        )
-    union = findings[0]
-    for more in findings[1:]:
-        union = union.unionByName(more)
-    written = materialize(union, "findings")
-    nothing = (
-        written.agg(F.count(F.lit(1)).alias("found"))
-        .filter(F.col("found") == 0)
-        .select(
-            F.lit("none").alias("check"),
-            F.lit(None).cast("string").alias("column"),
-            F.lit(None).cast("string").alias("value"),
-            F.lit(None).cast("bigint").alias("n"),
-            F.lit(None).cast("double").alias("statistic"),
-            F.lit("no sign of leakage found").alias("detail"),
-        )
-    )
-    return written.unionByName(nothing)

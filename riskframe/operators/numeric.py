@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -91,6 +91,30 @@ def numeric_summary(
     ).select(*_SUMMARY)
 
 
+def summary_of(df: DataFrame, columns: Sequence[str], states: Mapping[str, Row], spread: Mapping[str, list]) -> DataFrame:
+    """:func:`numeric_summary` of columns whose states and percentiles are at hand."""
+    rows = []
+    for c in columns:
+        s, (p5, p25, middle, p75, p95) = states.get(c), spread[f"all {c}"]
+        n, zeros, ones = (s["have"], s["zeros"], s["neg_one"]) if s else (0, 0, 0)
+        mean, std, low, high = (s["mean"], s["std"], s["min"], s["max"]) if s else (None,) * 4
+        rows.append((c, n, mean, middle, std, low, high, p5, p25, p75, p95, zeros, zeros / n if n else 0.0, ones, ones / n if n else 0.0))
+    schema = _schema(_SUMMARY, column="string", n="bigint", zeros="bigint", neg_ones="bigint")
+    return df.sparkSession.createDataFrame(rows, schema).coalesce(1)
+
+
+def sides_of(df: DataFrame, columns: Sequence[str], states: Mapping[str, Row], spread: Mapping[str, list]) -> DataFrame:
+    """:func:`label_by_numeric` of columns whose states and percentiles are at hand."""
+    rows = []
+    for c in columns:
+        s = states.get(c)
+        pos, neg = ((s["pos_rows"], s["neg_rows"]) if s else (0, 0))
+        means = (s["pos_mean"], s["neg_mean"]) if s else (None, None)
+        rows.append((c, pos, means[0], spread[f"pos {c}"][2], neg, means[1], spread[f"neg {c}"][2], pos > 0 and neg > 0))
+    schema = _schema(_COMPARED, column="string", pos_n="bigint", neg_n="bigint", comparable="boolean")
+    return df.sparkSession.createDataFrame(rows, schema).coalesce(1)
+
+
 def label_by_numeric(
     df: DataFrame,
     columns: Sequence[str],
@@ -220,3 +244,36 @@ def extreme_values(
     outliers = melt(df, cells, "value").withColumn("distance", F.coalesce(*distance))
     w = Window.partitionBy("column").orderBy(F.desc("distance"), F.desc("value"))
     return outliers.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+
+
+def outlier_tables(
+    df: DataFrame, columns: Sequence[str], quartile: Mapping[str, list[float | None]], counts: Mapping[str, int], k: float = 1.5, top: int = 5
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`iqr_outliers` and :func:`extreme_values` of columns whose quartiles and counts are at hand, by one action.
+
+    Only outliers leave the scans: their number, and each task's ``top`` per column.
+    """
+    fences = _fences(quartile, k)
+    hits: dict[str, int] = {}
+    best: list[tuple] = []
+    if fences:
+        cells = {}
+        for c, (_, _, _, low, high) in fences.items():
+            v = number_of(df, c)
+            cells[c] = F.when((v < low) | (v > high), v)
+        far = extreme_values(df, columns, k, top, quartile).select("column", "value", "distance", "rank", F.lit(None).cast("bigint").alias("hits"))
+        none = F.lit(None).cast("double")
+        many = melt(df, cells, "v").groupBy("column").agg(F.count(F.lit(1)).alias("hits"))
+        rows = far.unionByName(many.select("column", none.alias("value"), none.alias("distance"), F.lit(None).cast("int").alias("rank"), "hits")).collect()
+        hits = {r["column"]: r["hits"] for r in rows if r["hits"] is not None}
+        best = sorted((tuple(r)[:4] for r in rows if r["hits"] is None), key=lambda r: (columns.index(r[0]), r[3]))
+    table = []
+    for c in columns:
+        q1, _, q3, low, high = fences.get(c, (None,) * 5)
+        n = counts[c]
+        table.append((c, q1, q3, low, high, n, hits.get(c, 0), hits.get(c, 0) / n if n else 0.0))
+    spark = df.sparkSession
+    return (
+        spark.createDataFrame(table, _schema(_OUTLIERS, column="string", n="bigint", outliers="bigint")).coalesce(1),
+        spark.createDataFrame(best, _EXTREMES).coalesce(1),
+    )

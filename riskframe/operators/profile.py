@@ -49,7 +49,7 @@ def dataset_size(df: DataFrame) -> DataFrame:
     )
 
 
-def _can_compare(dtype: T.DataType) -> bool:
+def can_compare(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
@@ -74,7 +74,7 @@ def presence(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         sums, rows = [F.count(F.lit(1)).alias("n")], []
         for i, name in enumerate(group):
             c = value_of(df, name)
-            same = F.min(c) == F.max(c) if _can_compare(df.schema[name].dataType) else F.lit(None)
+            same = F.min(c) == F.max(c) if can_compare(df.schema[name].dataType) else F.lit(None)
             sums += [F.count(c).alias(f"have{i}"), same.cast("boolean").alias(f"same{i}")]
             n, have = F.col("n"), F.col(f"have{i}")
             constant = F.when(have == 0, True).otherwise((have == n) & F.col(f"same{i}"))
@@ -201,32 +201,42 @@ def negative_values(df: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(
-    df: DataFrame, columns: Sequence[str] | None = None, digest: bool = False
+    df: DataFrame, columns: Sequence[str] | None = None, digest: bool = False, n: int | None = None
 ) -> DataFrame:
     """Rows beyond the first of each group of identical rows; null equals null.
 
-    Groups by the values themselves. ``digest`` groups by two differently seeded 64-bit
-    hashes instead: sixteen bytes per row cross the network whatever the width, at odds of
-    about n²/2^129 that two different rows count as one.
+    Groups by the values themselves. ``digest`` does it in two phases: rows are grouped by two
+    differently seeded 64-bit hashes, sixteen bytes per row whatever the width, and only rows whose
+    hashes repeat are then grouped by their values. Both are exact; the second costs less where rows are
+    wide and mostly unique, and it runs its first phase at once. ``n`` is the number of rows where it is
+    at hand.
     """
     names = list(df.columns if columns is None else columns)
     require(df, *names)
     keys = [value_of(df, n) for n in names]
+    rows = df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
     if digest:
         # The hash skips nulls, so their places go in as well.
-        nulls = F.concat_ws("", *[F.when(k.isNull(), "1").otherwise("0") for k in keys])
-        rows = df.select(
-            F.xxhash64(F.lit(1), nulls, *keys).alias("a"),
-            F.xxhash64(F.lit(2), nulls, *keys).alias("b"),
-        ).groupBy("a", "b")
-    else:
-        rows = df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
-        rows = rows.groupBy(*rows.columns)
-    groups = rows.agg(F.count(F.lit(1)).alias("copies"))
-    n = F.coalesce(F.sum("copies"), F.lit(0))
+        cells = [F.col(c) for c in rows.columns]
+        nulls = F.concat_ws("", *[F.when(k.isNull(), "1").otherwise("0") for k in cells])
+        marks = {m: F.xxhash64(F.lit(i), nulls, *cells) for i, m in ((1, "a"), (2, "b"))}
+        total = df.agg(F.count(F.lit(1)).alias("n")).scalar() if n is None else F.lit(n).cast("bigint")
+        again = rows.select(*[m.alias(name) for name, m in marks.items()]).groupBy("a", "b").count()
+        again = again.filter(F.col("count") > 1).select("a", "b")
+        if again.isEmpty():
+            if n is not None:
+                return df.sparkSession.createDataFrame([(n, 0, 0.0)], "n bigint, duplicates bigint, share double").coalesce(1)
+            return df.sparkSession.range(1).select(total.alias("n"), F.lit(0).cast("bigint").alias("duplicates"), F.lit(0.0).alias("share")).coalesce(1)
+        rows = rows.withColumns(marks).join(again, ["a", "b"], "left_semi")
+        groups = rows.groupBy(*[f"k{i}" for i in range(len(keys))]).agg(F.count(F.lit(1)).alias("copies"))
+        extra = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
+        found = groups.agg(extra.alias("duplicates")).withColumn("n", total)
+        return found.select("n", "duplicates", share(F.col("duplicates"), F.col("n")).alias("share"))
+    groups = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+    total = F.coalesce(F.sum("copies"), F.lit(0))
     extra = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
     return groups.agg(
-        n.alias("n"), extra.alias("duplicates"), share(extra, n).alias("share")
+        total.alias("n"), extra.alias("duplicates"), share(extra, total).alias("share")
     )
 
 

@@ -1,12 +1,13 @@
 """Exact quantiles with linear interpolation at any size.
 
-The values at the wanted ranks are found by narrowing. A sketch per column proposes values
-close to each rank (pivots); one scan counts how many values lie below and at every pivot, so
-each rank is then known to be a pivot or to lie between two of them. Ranks that still have
-many values between their pivots go another round; the few values around the others are
-gathered and sorted. Only sketches, counts and gathered values are shuffled, never the data,
-and the counts make the outcome exact whatever the error of the sketch. Every size of data
-takes this one path, so the same rows have the same quantiles however many others there are.
+The values at the wanted ranks are found by narrowing. A sketch per column proposes values on
+either side of each rank (pivots), at the distance of the sketch's rank bound; one scan counts how many
+values lie below and at every pivot, and brings along the values between the two pivots of a rank where
+the bound says that these are few. Ranks that still have many values between their pivots go another
+round; the values around the others are gathered and sorted. Only sketches, counts and gathered values
+are shuffled, never the data, and the counts make the outcome exact whatever the error of the sketch.
+Every size of data takes this one path, so the same rows have the same quantiles however many others
+there are.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import math
 from bisect import bisect_left
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,9 +25,14 @@ from pyspark.sql.window import Window
 from riskframe.operators.columns import melt
 
 GATHER_ROWS = 200_000
-# The sketch is finer where a round costs more than a larger sketch.
+# Values around one rank that the counting scan itself may bring to the driver.
+GATHER_AT_ONCE = 20_000
+# The sketch is larger where a round costs more than it does.
 _LARGE = 100_000_000
-_ACCURACY, _FINE_ACCURACY = 1_000, 10_000
+_SKETCH, _FINE_SKETCH = 4_096, 32_768
+_FINE_ACCURACY = 10_000
+# Pivots that are compared one after the other in generated code.
+_STRAIGHT = 32
 
 
 @dataclass
@@ -80,6 +87,7 @@ def quantiles(
     values: Mapping[str, Column],
     probabilities: Sequence[float],
     approximate: bool = False,
+    counts: Mapping[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
     """Quantiles of named double expressions, null for one without values.
 
@@ -89,7 +97,7 @@ def quantiles(
         return {}
     probabilities = list(probabilities)
     if not approximate:
-        return narrowed_quantiles(df, values, probabilities)
+        return narrowed_quantiles(df, values, probabilities, counts=counts)
     make = [F.percentile_approx(v, probabilities, _FINE_ACCURACY) for v in values.values()]
     row = df.agg(*[m.alias(f"q{i}") for i, m in enumerate(make)]).first()
     none = [None] * len(probabilities)
@@ -107,12 +115,16 @@ def narrowed_quantiles(
     values: Mapping[str, Column],
     probabilities: Sequence[float],
     gather_rows: int = GATHER_ROWS,
+    counts: Mapping[str, int] | None = None,
 ) -> dict[str, list[float | None]]:
-    """Exact quantiles by counting; see the module text."""
+    """Exact quantiles by counting; see the module text. ``counts`` are the values of each name where they are at hand."""
     names = list(values)
     short = {n: f"v{i}" for i, n in enumerate(names)}
     frame = df.select(*[values[n].cast("double").alias(short[n]) for n in names])
-    counted = frame.agg(*[F.count(c).alias(c) for c in short.values()]).first()
+    if counts is None:
+        counted = frame.agg(*[F.count(c).alias(c) for c in short.values()]).first()
+    else:
+        counted = {short[n]: counts[n] for n in names}
 
     searches: dict[str, _Search] = {}
     for n in names:
@@ -145,51 +157,96 @@ def narrowed_quantiles(
     return result
 
 
+def _margin(inside: int) -> tuple[int, float]:
+    """A sketch's size for so many values, and the share of them within which it finds a rank, but for very few."""
+    size = _FINE_SKETCH if inside > _LARGE else _SKETCH
+    return size, 3 * 2.296 / size**0.9723
+
+
+def _aims(rank: int, before: int, inside: int) -> tuple[float, float]:
+    """Shares of a bracket's values to either side of a rank, as far off as the sketch may be."""
+    middle, margin = (rank - before + 0.5) / inside, _margin(inside)[1]
+    return max(middle - margin, 0.0), min(middle + margin, 1.0)
+
+
 def _round(frame: DataFrame, searches: dict[str, _Search], gather_rows: int) -> bool:
-    """Sketch and count once for every bracket that holds many values."""
+    """Sketch and count once for every bracket that holds many values.
+
+    The sketch's rank bound says how many values can lie between the pivots on either side of a
+    wanted rank. Where these are few, the counting scan brings them along, value by value, and
+    the rank is settled by it.
+    """
+    few = min(gather_rows, GATHER_AT_ONCE)
     wide = [
         (c, bounds, bracket)
         for c, search in searches.items()
         for bounds, bracket in search.open_brackets().items()
-        if bracket[1] > gather_rows
+        if bracket[1] > few
     ]
     if not wide:
         return False
-    sketches = []
+    sketches, asked, aims = [], [], []
     for i, (c, bounds, (before, inside, ranks)) in enumerate(wide):
-        accuracy = _FINE_ACCURACY if inside > _LARGE else _ACCURACY
-        aims = {
-            min(max((rank - before + 0.5) / inside + margin, 0.0), 1.0)
-            for rank in ranks
-            for margin in (-2.0 / accuracy, 2.0 / accuracy)
-        }
-        held = F.when(_within(F.col(c), *bounds), F.col(c))
-        sketches.append(F.percentile_approx(held, sorted(aims), accuracy).alias(f"p{i}"))
-    proposed = frame.agg(*sketches).first()
+        aims.append(sorted({a for rank in ranks for a in _aims(rank, before, inside)}))
+        held = F.col(c) if bounds == (None, None) else F.when(_within(F.col(c), *bounds), F.col(c))
+        sketches.append(F.kll_sketch_agg_double(held, _margin(inside)[0]).alias(f"s{i}"))
+        asked.append(F.kll_sketch_get_quantile_double(f"s{i}", F.array(*map(F.lit, aims[i]))).alias(f"p{i}"))
+    proposed = frame.agg(*sketches).select(*asked).first()
 
     pivots: dict[str, list[float]] = {}
-    for i, (c, _, _) in enumerate(wide):
-        pivots[c] = sorted({*pivots.get(c, []), *proposed[f"p{i}"]})
+    near: dict[str, list[tuple[float, float]]] = {}
+    for i, (c, _, (before, inside, ranks)) in enumerate(wide):
+        at = dict(zip(aims[i], (0.0 if p == 0 else p for p in proposed[f"p{i}"])))
+        pivots[c] = sorted({*pivots.get(c, []), *at.values()})
+        if 2 * _margin(inside)[1] * inside <= few:
+            near.setdefault(c, []).extend(tuple(at[a] for a in _aims(rank, before, inside)) for rank in ranks)
     # Slot 2k+1 holds the values equal to pivot k, slot 2k those between pivots k-1 and k.
-    slots = {}
-    for c, found in pivots.items():
-        slot = F.when(F.col(c).isNull(), None)
-        for k, pivot in enumerate(found):
-            slot = slot.when(F.col(c) < pivot, 2 * k).when(F.col(c) == pivot, 2 * k + 1)
-        slots[c] = slot.otherwise(2 * len(found)).cast("int")
-    sizes = melt(frame, slots, "slot").groupBy("column", "slot").agg(F.count(F.lit(1)).alias("n"))
-    by_slot = {(r.column, r.slot): r.n for r in sizes.collect()}
+    kept = {
+        c: [slot % 2 == 0 and 0 < slot < 2 * len(found) and any(low <= found[slot // 2 - 1] and found[slot // 2] <= high for low, high in near.get(c, []))
+            for slot in range(2 * len(found) + 1)]
+        for c, found in pivots.items()
+    }
+    sizes = _slots(frame, pivots, kept)
+    by_slot: dict[tuple, list[tuple]] = {}
+    for r in sizes.collect():
+        by_slot.setdefault((r.column, r.slot), []).append((r.v, r.n))
     for c, found in pivots.items():
-        below, upto, total = [], [], 0
-        for k in range(len(found)):
-            total += by_slot.get((c, 2 * k), 0)
-            below.append(total)
-            total += by_slot.get((c, 2 * k + 1), 0)
-            upto.append(total)
-        searches[c].learn(found, below, upto)
+        values, below, upto, total = [], [], [], 0
+        for slot in range(2 * len(found)):
+            for v, n in sorted(by_slot.get((c, slot), [(None, 0)] if slot % 2 else [])):
+                if slot % 2 or kept[c][slot]:
+                    values.append(found[slot // 2] if slot % 2 else v)
+                    below.append(total)
+                    upto.append(total + n)
+                total += n
+        searches[c].learn(values, below, upto)
     return True
 
 
+def _slots(frame: DataFrame, pivots: dict[str, list[float]], kept: dict[str, list[bool]]) -> DataFrame:
+    """``(column, slot, v, n)``: how many values lie in each slot, by value in the kept slots.
+
+    The pivots come to the unpivoted values as one row per column, so a single short expression serves all
+    columns; a chain of cases for each of them would be more code than the JVM compiles.
+    """
+    most = max(map(len, pivots.values()))
+    # Nothing is at or above the padding.
+    rows = [(c, [*found, *[math.nan] * (most - len(found))], kept[c]) for c, found in pivots.items()]
+    table = frame.sparkSession.createDataFrame(rows, "pivot_column string, pivots array<double>, kept array<boolean>")
+    x = F.col("x")
+    if most <= _STRAIGHT:
+        # Two comparisons per pivot, without a branch.
+        table = table.select("pivot_column", "kept", *[F.col("pivots")[k].alias(f"p{k}") for k in range(most)])
+        steps = [s.cast("int") for k in range(most) for s in (x >= F.col(f"p{k}"), x > F.col(f"p{k}"))]
+        slot = reduce(Column.__add__, steps)
+    else:
+        slot = F.size(F.filter("pivots", lambda p: p <= x)) + F.size(F.filter("pivots", lambda p: p < x))
+    cells = melt(frame, {c: F.col(c) for c in pivots}, "x").join(F.broadcast(table), F.col("column") == F.col("pivot_column"))
+    slotted = cells.select("column", "x", "kept", slot.alias("slot"))
+    v = F.when(F.col("kept")[F.col("slot")], F.col("x"))
+    return slotted.select("column", "slot", v.alias("v")).groupBy("column", "slot", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _gather(frame: DataFrame, searches: dict[str, _Search]) -> None:
     """Sort the values left in each bracket: no more than the gather limit of each."""
     brackets = [

@@ -67,14 +67,10 @@ def named_like_periods(columns: Iterable[str]) -> list[str]:
     return [c for c in columns if _PERIOD.search(c) and not _NO_PERIOD.search(c)]
 
 
-def period_columns(
-    df: DataFrame, max_periods: int = MAX_PERIODS, columns: Sequence[str] | None = None
-) -> list[str]:
-    """Columns named like periods that hold few distinct values. A name outside the frame
-    cannot be checked and stays."""
-    named = named_like_periods(df.columns if columns is None else columns)
-    few = at_most_distinct(df, {n: max_periods for n in named if n in df.columns})
-    return [n for n in named if few.get(n, True)]
+def period_columns(df: DataFrame, max_periods: int = MAX_PERIODS) -> list[str]:
+    """Columns named like periods that hold few distinct values."""
+    few = at_most_distinct(df, dict.fromkeys(named_like_periods(df.columns), max_periods))
+    return [n for n, held in few.items() if held]
 
 
 def _role_frame(df: DataFrame, roles: dict[str, str]) -> DataFrame:

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskframe.contract import PERIOD_JUMP
 from riskframe.functions import share
-from riskframe.operators.columns import is_positive, label_value, require, value_of
+from riskframe.operators.columns import cell, held, is_positive, label_value, require, text_of, value_of
 from riskframe.operators.profile import with_share
 from riskframe.sources.scratch import materialize
 
@@ -82,13 +83,42 @@ def row_order(df: DataFrame, column: str, order_by: Sequence[str]) -> DataFrame:
     verdict = joined.agg(
         F.bool_or("gap").alias("gap"), F.bool_and("up").alias("up"), F.bool_and("down").alias("down")
     )
-    direction = (
+    return verdict.select(F.lit(column).alias("column"), _direction().alias("direction"))
+
+
+def row_orders(df: DataFrame, columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """:func:`row_order` of several columns with few values, by one scan and one small table of stretches."""
+    require(df, *columns)
+    position = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
+    cells = df.select(position.alias("__at"), *[text_of(df, c).alias(c) for c in columns])
+    stretches = (
+        cells.unpivot([F.col("__at")], [cell(c) for c in columns], "column", "value")
+        .groupBy("column", "value")
+        .agg(F.min("__at").alias("first"), F.max("__at").alias("last"))
+    )
+    small = held(stretches)
+    found = []
+    for c in columns:
+        value = F.col("value").cast(df.schema[c].dataType)
+        of = small.filter(F.col("column") == c).select(value.alias("value"), "first", "last")
+        in_order = Window.orderBy("value")
+        steps = of.select(
+            "value",
+            F.coalesce(F.lag("last").over(in_order) <= F.col("first"), F.lit(True)).alias("up"),
+            F.coalesce(F.lag("first").over(in_order) >= F.col("last"), F.lit(True)).alias("down"),
+        )
+        verdict = steps.agg(F.bool_or(F.col("value").isNull()).alias("gap"), F.bool_and("up").alias("up"), F.bool_and("down").alias("down"))
+        found.append(verdict.select(F.lit(c).alias("column"), _direction().alias("direction")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _direction() -> Column:
+    return (
         F.when(F.coalesce("gap", F.lit(False)), "none")
         .when(F.coalesce("up", F.lit(True)), "increasing")
         .when(F.col("down"), "decreasing")
         .otherwise("none")
     )
-    return verdict.select(F.lit(column).alias("column"), direction.alias("direction"))
 
 
 def period_rates(df: DataFrame, column: str, target: str, positive=1) -> DataFrame:
@@ -107,15 +137,22 @@ def period_shifts(
     positive=1,
     threshold: float = PERIOD_JUMP,
     min_drop: float | None = None,
+    rates: DataFrame | None = None,
 ) -> DataFrame:
     """Periods whose mean label changed by more than ``threshold`` times the previous one.
 
     A period without labels keeps the last known rate; a rise from zero is an infinite
     change. A drop is at most one, so it is only reported with ``min_drop``, the share of
     the previous rate it must lose. The series is sorted into ranges of periods; each range is
-    walked by itself and starts from the last rate known in the ranges before it.
+    walked by itself and starts from the last rate known in the ranges before it. ``rates`` are the
+    column's ``period_rates`` where they are at hand in few rows, which one task then walks.
     """
     in_time = F.col("period").asc_nulls_last()
+    if rates is not None:
+        walk = Window.orderBy(in_time)
+        known = F.last("rate", ignorenulls=True).over(walk.rowsBetween(Window.unboundedPreceding, 0))
+        series = rates.coalesce(1).withColumn("known", known).withColumn("previous_rate", F.lag("known").over(walk))
+        return _flagged(series, column, threshold, min_drop)
     rates = period_rates(df, column, target, positive).repartitionByRange(in_time)
     ranged = materialize(rates.withColumn("range", F.spark_partition_id()), "period-rates")
     inside = Window.partitionBy("range").orderBy(in_time)
@@ -127,6 +164,10 @@ def period_shifts(
     ends = ends.select("range", F.last("end", ignorenulls=True).over(earlier).alias("carried"))
     series = ranged.join(F.broadcast(ends), "range").withColumn("known", F.coalesce(known.over(upto), "carried"))
     series = series.withColumn("previous_rate", F.coalesce(F.lag("known").over(inside), "carried"))
+    return _flagged(series, column, threshold, min_drop)
+
+
+def _flagged(series: DataFrame, column: str, threshold: float, min_drop: float | None) -> DataFrame:
     now, then = F.col("known"), F.col("previous_rate")
     change = F.when((then == 0) & (now > 0), F.lit(float("inf"))).otherwise(
         F.try_divide(now, then) - 1

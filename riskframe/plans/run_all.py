@@ -10,21 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.contract import MAX_CATEGORIES, MAX_PERIODS, TARGET
-from riskframe.operators import categories, leakage, numeric, profile, temporal
-from riskframe.operators.columns import is_category_type, number_of
-from riskframe.operators.quantiles import quantiles
-from riskframe.operators.roles import period_columns, split_columns
+from riskframe.operators import numeric, profile, temporal
+from riskframe.operators.columns import held, is_category_type
+from riskframe.operators.state import TableState
+from riskframe.plans.findings import leakage_findings
 from riskframe.sources.scratch import materialize
 
-ANALYSES = (
-    "overview", "data_quality", "feature_profile", "target", "categorical", "numeric",
-    "temporal", "relationships", "outliers", "leakage",
-)
 _LONG = (
     "analysis string, part string, column string, item string, metric string, value string, "
     "status string"
 )
 _ITEMS = ("check", "period", "value")
+TOP, TOP_LABELLED = 15, 8
 
 
 @dataclass
@@ -45,31 +42,32 @@ def run_all(
     max_periods: int = MAX_PERIODS,
     materialize_input: bool = False,
 ) -> Analyses:
-    """Run every analysis and write each result table down as soon as it is planned.
-
-    Three intermediate tables are shared: one scan of column statistics, one unpivoted
-    count of all categories, and the quartiles. ``materialize_input`` first writes the
-    input as Parquet, for sources that are costly to parse. Analyses that need the label
-    are skipped without it; ``order_by`` adds the row order of temporal columns.
+    """Run every analysis over one :class:`TableState` of the data.
+
+    The result tables are bounded by the number of columns, not by the rows, so they are held as they
+    come; class counts and findings, which the data may make long, are written down.
+    ``materialize_input`` first writes the input as Parquet, in as many parts as there are cores at
+    least: for sources that are costly to parse, or that come in few pieces.
+    Analyses that need the label are skipped without it; ``order_by`` adds the row order of temporal
+    columns.
     """
     if materialize_input:
-        df = materialize(df, "input")
+        df = materialize(dealt_out(df), "input")
     label = target if target in df.columns else None
-    shared = _Shared(df, label, positive, order_by, max_categories, max_periods)
+    state = TableState(df, label, positive, order_by, max_categories, max_periods)
     tables: dict[str, DataFrame] = {}
     states = []
-    for analysis in ANALYSES:
-        for part, needs_label, build in _parts(analysis, df, label, positive, order_by, shared):
-            name = f"{analysis}.{part}"
-            if needs_label and label is None:
-                states.append((analysis, part, f"skipped: no column {target}"))
-                continue
-            try:
-                tables[name] = materialize(build(), f"{analysis}-{part}")
-                states.append((analysis, part, "ok"))
-            except Exception as error:  # noqa: BLE001 - the other analyses go on
-                reason = (str(error).splitlines() or [""])[0]
-                states.append((analysis, part, f"failed: {type(error).__name__}: {reason}"))
+    for analysis, part, needs_label, build in _parts(df, label, positive, order_by, state):
+        name = f"{analysis}.{part}"
+        if needs_label and label is None:
+            states.append((analysis, part, f"skipped: no column {target}"))
+            continue
+        try:
+            tables[name] = build()
+            states.append((analysis, part, "ok"))
+        except Exception as error:  # noqa: BLE001 - the other analyses go on
+            reason = (str(error).splitlines() or [""])[0]
+            states.append((analysis, part, f"failed: {type(error).__name__}: {reason}"))
     status = df.sparkSession.createDataFrame(states, "analysis string, part string, status string")
     rows = [_long(name, table) for name, table in tables.items()]
     bad = [s for s in states if s[2] != "ok"]
@@ -79,160 +77,83 @@ def run_all(
     return Analyses(tables, status, reduce(DataFrame.unionByName, rows))
 
 
-class _Shared:
-    """What several analyses use, worked out on first use."""
-
-    def __init__(self, df, label, positive, order_by, max_categories, max_periods):
-        self.df, self.label, self.positive, self.order_by = df, label, positive, order_by
-        self.limits = (max_categories, max_periods)
-        self._known: dict[str, object] = {}
-
-    def _once(self, key: str, build: Callable):
-        if key not in self._known:
-            self._known[key] = build()
-        return self._known[key]
-
-    @property
-    def roles(self) -> tuple[list[str], list[str]]:
-        exclude = [self.label] if self.label else []
-        return self._once("roles", lambda: split_columns(self.df, exclude, self.limits[0]))
-
-    @property
-    def periods(self) -> list[str]:
-        return self._once("periods", lambda: period_columns(self.df, self.limits[1]))
-
-    @property
-    def stats(self) -> DataFrame:
-        return self._once("stats", lambda: materialize(profile.column_scan(self.df), "stats"))
-
-    @property
-    def counts(self) -> DataFrame:
-        named = {f.name for f in self.df.schema if is_category_type(f.dataType)}
-        wanted = {*self.roles[0], *self.periods, *named}
-        columns = [c for c in self.df.columns if c in wanted]
-        return self._once(
-            "counts",
-            lambda: materialize(
-                categories.value_counts(
-                    self.df, columns, self.label, self.positive, self.order_by
-                ),
-                "counts",
-            ),
-        )
-
-    def counts_of(self, columns: Sequence[str]) -> DataFrame:
-        return self.counts.filter(F.col("column").isin(list(columns)))
-
-    @property
-    def spread(self) -> dict:
-        """Percentiles of the continuous columns, over all rows and on either side of the label, by one search."""
-
-        def search() -> dict:
-            cells = {f"all {c}": number_of(self.df, c) for c in self.roles[1]}
-            if self.label:
-                cells |= numeric.label_sides(self.df, self.roles[1], self.label, self.positive)
-            return quantiles(self.df, cells, numeric.SPREAD)
-
-        return self._once("spread", search)
-
-    @property
-    def of_all(self) -> dict:
-        return {c: self.spread[f"all {c}"] for c in self.roles[1]}
-
-    @property
-    def quartiles(self) -> dict:
-        return {c: list(v[1:4]) for c, v in self.of_all.items()}
-
-    @property
-    def medians(self) -> dict:
-        return {k: [v[2]] for k, v in self.spread.items() if not k.startswith("all ")}
-
-    @property
-    def constants(self) -> DataFrame:
-        features = [*self.roles[0], *self.roles[1]]
-        return self.stats.filter(F.col("is_constant") & F.col("column").isin(features)).select("column", "n")
-
-
-def _parts(analysis, df, label, positive, order_by, shared: _Shared):
-    """``(part, needs the label, how to build it)`` of one analysis."""
-    seen = shared.order_by
-    if analysis == "overview":
-        return [
-            ("size", False, lambda: profile.dataset_size(df)),
-            ("columns", False, lambda: profile.overview(df)),
-        ]
-    if analysis == "data_quality":
-        return [
-            ("columns", False, lambda: shared.stats.select(
-                "column", "missing", "missing_share", "is_constant", "neg_one", "other_negative")),
-            ("duplicates", False, lambda: profile.duplicate_rows(df)),
-        ]
-    if analysis == "feature_profile":
-        return [
-            ("columns", False, lambda: shared.stats.join(
-                F.broadcast(profile.distinct_counts(df)), "column", "left"
-            ).select("column", "type", F.coalesce("distinct", F.lit(0)).alias("distinct"),
-                     "missing", "missing_share", "mean", "std", "min", "max")),
-            ("most_common", False, lambda: _most_common(df, shared)),
-        ]
-    if analysis == "target":
-        return [
-            ("counts", True, lambda: profile.class_counts(df, label)),
-            ("balance", True, lambda: profile.class_balance(df, label, positive)),
-        ]
-    if analysis == "categorical":
-        return [("counts", False, lambda: categories.category_counts(
-            df, shared.roles[0], label, positive, 15, seen, shared.counts_of(shared.roles[0])))]
-    if analysis == "numeric":
-        return [("summary", False, lambda: numeric.numeric_summary(
-            df, shared.roles[1], spread=shared.of_all))]
-    if analysis == "temporal":
-        parts = [("periods", False, lambda: _periods(shared))]
-        if order_by:
-            parts.append(("row_order", False, lambda: reduce(
-                DataFrame.unionByName,
-                [temporal.row_order(df, c, order_by) for c in shared.periods])))
-        return parts
-    if analysis == "relationships":
-        return [
-            ("categories", True, lambda: categories.label_by_category(
-                df, shared.roles[0], label, positive, 8, seen, shared.counts_of(shared.roles[0]))),
-            ("numbers", True, lambda: numeric.label_by_numeric(
-                df, shared.roles[1], label, positive, shared.medians)),
-        ]
-    if analysis == "outliers":
-        return [
-            ("fences", False, lambda: numeric.iqr_outliers(
-                df, shared.roles[1], quartile=shared.quartiles)),
-            ("extremes", False, lambda: numeric.extreme_values(
-                df, shared.roles[1], quartile=shared.quartiles)),
-        ]
-    return [("findings", True, lambda: leakage.leakage_findings(
-        df, label, positive, *shared.limits, counts=shared.counts_of(shared.roles[0]),
-        roles=shared.roles, periods=shared.periods, constants=shared.constants))]
-
-
-def _most_common(df: DataFrame, shared: _Shared) -> DataFrame:
-    named = [f.name for f in df.schema if is_category_type(f.dataType)]
-    known = shared.counts_of(named).filter(F.col("value").isNotNull())
-    best = categories.category_counts(df, named, top=1, order_by=shared.order_by, counts=known)
-    return best.select("column", "categories", "value", "n")
-
-
-def _periods(shared: _Shared) -> DataFrame:
-    counts = shared.counts_of(shared.periods)
-    totals = counts.groupBy("column").agg(F.sum("n").alias("rows"))
-    rate = F.col("positives") / F.col("n") if shared.label else F.lit(None).cast("double")
-    return (
-        counts.join(F.broadcast(totals), "column")
-        .select(
-            "column",
-            F.col("value").alias("period"),
-            "n",
-            (F.col("n") / F.col("rows")).alias("share"),
-            rate.alias("positive_rate"),
-        )
-    )
+def dealt_out(df: DataFrame) -> DataFrame:
+    """The table in at least as many parts as there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def _parts(df: DataFrame, label: str | None, positive, order_by: Sequence[str], state: TableState):
+    """``(analysis, part, needs the label, how to build it)`` in the order of the report."""
+    spark = df.sparkSession
+
+    def local(rows: list[tuple], schema: str) -> DataFrame:
+        return spark.createDataFrame(rows, schema).coalesce(1)
+
+    def quality() -> DataFrame:
+        rows = [(c, *row) for c, _, *row in (r[:7] for r in state.column_rows())]
+        return local(rows, "column string, missing bigint, missing_share double, is_constant boolean, neg_one bigint, other_negative bigint")
+
+    def features() -> DataFrame:
+        rows = [(c, kind, state.distinct[c], missing, rate, *numbers) for c, kind, missing, rate, _, _, _, *numbers in state.column_rows()]
+        return local(rows, "column string, type string, distinct bigint, missing bigint, missing_share double, mean double, std double, min double, max double")
+
+    def common() -> DataFrame:
+        named = [f.name for f in df.schema if is_category_type(f.dataType)]
+        best = state.top_categories(named, 1, keep_null=False).select("column", "categories", "value", "n")
+        return best if set(named) <= set(state.few) else held(best)
+
+    def balance() -> DataFrame:
+        return local([state.class_balance()], "n bigint, positives bigint, negatives bigint, positive_rate double, negative_rate double, imbalance_ratio double")
+
+    def orders() -> DataFrame:
+        return temporal.row_orders(df, state.periods, order_by)
+
+    def labelled() -> DataFrame:
+        best = top().filter(F.col("rank") <= TOP_LABELLED)
+        return best.select("column", "value", "n", "positive_rate", "rank")
+
+    tops: list[DataFrame] = []
+
+    def top() -> DataFrame:
+        if not tops:
+            best = state.top_categories(state.roles[0], TOP)
+            tops.append(best if set(state.roles[0]) <= set(state.few) else held(best))
+        return tops[0]
+
+    beyond: list[tuple[DataFrame, DataFrame]] = []
+
+    def outliers() -> tuple[DataFrame, DataFrame]:
+        if not beyond:
+            beyond.append(numeric.outlier_tables(df, state.roles[1], state.quartiles(), {c: state.have(c) for c in state.roles[1]}))
+        return beyond[0]
+
+    def summary() -> DataFrame:
+        return numeric.summary_of(df, state.roles[1], state.states, state.spread)
+
+    def sides() -> DataFrame:
+        return numeric.sides_of(df, state.roles[1], state.states, state.spread)
+
+    parts: list[tuple[str, str, bool, Callable[[], DataFrame]]] = [
+        ("overview", "size", False, lambda: local([(state.rows, len(df.columns))], "n bigint, columns int")),
+        ("overview", "columns", False, lambda: profile.overview(df).coalesce(1)),
+        ("data_quality", "columns", False, quality),
+        ("data_quality", "duplicates", False, lambda: profile.duplicate_rows(df, digest=True, n=state.rows)),
+        ("feature_profile", "columns", False, features),
+        ("feature_profile", "most_common", False, common),
+        ("target", "counts", True, state.class_counts),
+        ("target", "balance", True, balance),
+        ("categorical", "counts", False, top),
+        ("numeric", "summary", False, summary),
+        ("temporal", "periods", False, state.period_counts),
+        ("temporal", "row_order", False, orders),
+        ("relationships", "categories", True, labelled),
+        ("relationships", "numbers", True, sides),
+        ("outliers", "fences", False, lambda: outliers()[0]),
+        ("outliers", "extremes", False, lambda: outliers()[1]),
+        ("leakage", "findings", True, lambda: leakage_findings(df, label, positive, state=state)),
+    ]
+    return [p for p in parts if p[1] != "row_order" or order_by]
 
 
 def _long(name: str, table: DataFrame) -> DataFrame:
