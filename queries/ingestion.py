@@ -11,7 +11,7 @@ from queries.rules import TRUTH, order_key, raw
 from riskframe.contract import CANONICAL_FIELDS
 from riskframe.operators.mappings import ATM, ONLINE, POS
 from riskframe.sources.files import apply_types, infer_types
-from riskframe.sources.scratch import scratch_path
+from riskframe.sources.scratch import materialize, scratch_path
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
@@ -230,6 +230,60 @@ REPORT = f"""{READ}, report AS (SELECT source_ordinal, r.source, r.source AS map
   GROUP BY source_ordinal, r.source)"""
 
 
+#: Files of each of the five layouts of the mixed folder.
+_FILES = 200
+
+
+def mixed_folder(spark, sf) -> str:
+    """One folder of about a thousand small files in five layouts, and three files that cannot be ingested."""
+    key = (spark.sparkContext.applicationId, sf, "mixed")
+    if key in _WRITTEN:
+        return _WRITTEN[key]
+    folder = scratch_path(spark, "mixed")
+    jvm = spark._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    store = Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(Path(folder))
+    layouts = [("pos", 0, "a", POS.required), ("pos", 0, "b", POS.required[::-1]), ("pos", 0, "c", ["extra", *POS.required])]
+    layouts += [("atm", 1, "a", ATM.required), ("online", 2, "a", ONLINE.required)]
+    rows = materialize(raw(spark, sf).withColumn("extra", F.lit("x, y")), "raw")
+    for name, code, letter, columns in layouts:
+        part = rows.filter(order_key() % 3 == code)
+        if name == "pos":
+            part = part.filter(F.floor(order_key() / 3) % 3 == "abc".index(letter))
+        most = max(1, -(-part.count() // _FILES))
+        path = f"{scratch_path(spark, 'csv')}/{name}{letter}"
+        part.repartitionByRange(8, "o_orderkey").sortWithinPartitions("o_orderkey").select(*columns).write.option("maxRecordsPerFile", most).csv(
+            path, header=True, quote='"', escape='"', emptyValue="")
+        found = [f.getPath() for f in store.listStatus(Path(path)) if f.getPath().getName().endswith(".csv")]
+        for i, file in enumerate(sorted(found, key=lambda f: f.getName())):
+            store.rename(file, Path(f"{folder}/{name}_{letter}{i:04}.csv"))
+    odd = {"pos_void": b" \n\n", "pos_unread": b"\xff\xfe,\xff\n1,2\n", "pos_broken": b"transaction_id,amount\n1,2.50\n"}
+    for name, content in odd.items():
+        stream = store.create(Path(f"{folder}/{name}.csv"))
+        stream.write(bytearray(content))
+        stream.close()
+    _WRITTEN[key] = folder
+    return folder
+
+
+@query(
+    "s09_ingest_folder",
+    f"""WITH {READ}, firsts AS (SELECT transaction_id, min(source) AS source FROM read WHERE field IS NULL GROUP BY 1)
+    SELECT source AS mapping, count(*) + CAST(source = 'pos' AS INTEGER) AS rows_read, count(*) FILTER (field IS NULL) AS valid,
+    count(*) FILTER (field IS NOT NULL) AS invalid, CASE WHEN source = 'pos' THEN 3 ELSE 0 END AS failed,
+    (SELECT count(*) FROM firsts f WHERE f.source = r.source) AS kept FROM read r GROUP BY source""",
+)
+def ingest_folder(spark, sf):
+    """A mixed folder: five headers, three scans, three files that fail by themselves."""
+    report = R.ingest_folder(spark, mixed_folder(spark, sf)).source_report()
+    total = lambda c: F.sum(c).cast("bigint")
+    return report.groupBy("mapping").agg(
+        total("rows_read").alias("rows_read"), total("valid").alias("valid"), total("invalid").alias("invalid"),
+        F.count_if(F.col("status") == "FAILED").alias("failed"), total(F.col("valid") - F.col("duplicates_removed")).alias("kept"),
+    )
+
+
 @query(
     "i01_ingest_one_source",
     f"WITH {READ} SELECT {_RECORDS} FROM valid WHERE source = 'pos' "

@@ -57,6 +57,7 @@ from riskframe.operators.validation import (
 from riskframe.plans.findings import leakage_findings
 from riskframe.plans.ingest import IngestResult, Source, ingest, ingest_folder
 from riskframe.plans.run_all import run_all
+from riskframe.shipping import ship
 from riskframe.sources.files import (
     csv_columns,
     discover_csv,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -121,46 +122,138 @@ def read_text_csv(
     return raw.select(*cells)
 
 
+#: Bytes of a file that are read at a time, and at most, in search of its first line.
+_CHUNK, _LONGEST = 1 << 16, 1 << 22
+
+
+def _opened(path: str):
+    """A byte stream of a file by the stores that Arrow reads."""
+    from pyarrow import fs
+
+    scheme, colon, rest = path.partition(":/")
+    if not colon or scheme == "file":
+        return fs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/") if colon else path)
+    store, name = fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}:/{rest}")
+    return store.open_input_stream(name)
+
+
+def first_line(path: str) -> str | None:
+    """The first line of a file that is not blank, null without one; reads little more than that."""
+    held = b""
+    with _opened(path) as stream:
+        while len(held) < _LONGEST:
+            chunk = stream.read(_CHUNK)
+            held += chunk
+            lines = held.split(b"\n")
+            for line in lines if not chunk else lines[:-1]:
+                if line.strip():
+                    return line.rstrip(b"\r").decode("utf-8")
+            if not chunk:
+                return None
+    raise ValueError("the first line is too long")
+
+
 def first_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """``(file_name, line)``: the first line of each CSV file directly in a folder; empty files are absent.
+    """``(file_name, path, bytes, line, error)`` of each CSV file directly in a folder: its first line that is
+    not blank, null without one, or why it cannot be read.
 
-    Lines are not parsed, and only a file's first block gives any.
+    Each file's first bytes are read, by tasks of a group of files each. In a store that only
+    Spark's own readers reach, the lines come from a text scan instead.
+    """
+    files = discover_csv(spark, folder)
+    sample = files.select("path").first().path
+    try:
+        _opened(sample).close()
+    except Exception:  # noqa: BLE001 - whatever Arrow says of a store it does not know
+        text = spark.read.option("pathGlobFilter", "*.csv").text(folder)
+        lines = text.select(
+            F.col("_metadata.file_name").alias("file_name"), "value",
+            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"),
+        )
+        lines = lines.filter((F.col("block") == 0) & (F.trim("value") != ""))
+        first = lines.groupBy("file_name").agg(F.min_by("value", "row").alias("line"))
+        return files.join(first, "file_name", "left").withColumn("error", F.lit(None).cast("string"))
+
+    def read(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            lines, errors = [], []
+            for path in b.column(1).to_pylist():
+                line = error = None
+                try:
+                    line = first_line(path)
+                except Exception as failure:  # noqa: BLE001 - it is reported with the file
+                    error = f"{type(failure).__name__}: {(str(failure).splitlines() or [''])[0]}"
+                lines.append(line)
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lines, pa.string()), pa.array(errors, pa.string())], names=[*b.schema.names, "line", "error"])
+
+    return files.mapInArrow(read, "file_name string, path string, bytes long, line string, error string")
+
+
+def unreadable_files(files: DataFrame) -> dict[str, str]:
+    """Errors, by name, of the files ``(file_name, path)`` that cannot be read to their end.
+
+    Each file is opened by itself, so a failure is one file's and ends no job.
     """
-    text = spark.read.option("pathGlobFilter", "*.csv").text(folder)
-    lines = text.select(
-        F.col("_metadata.file_name").alias("file_name"), "value",
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"),
-    )
-    first = lines.filter("block = 0").groupBy("file_name").agg(F.min_by("value", "row").alias("line"))
-    return first.filter("line <> ''")
 
+    def read(batches):
+        import pyarrow as pa
 
-def header_names(spark: SparkSession, line: str) -> list[str]:
-    """The names in a header line."""
-    width = line.count(",") + 1
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    cells = F.from_csv(F.lit(line), F.lit(schema), {"escape": '"'})
-    return [str(c) for c in spark.range(1).select(cells.alias("x")).first().x if c is not None]
+        for b in batches:
+            found = []
+            for name, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                try:
+                    with _opened(path) as stream:
+                        while stream.read(1 << 20):
+                            pass
+                except Exception as failure:  # noqa: BLE001 - it is reported with the file
+                    found.append((name, f"{type(failure).__name__}: {(str(failure).splitlines() or [''])[0]}"))
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.string()) for i in (0, 1)], names=["file_name", "error"])
 
+    rows = files.mapInArrow(read, "file_name string, error string")
+    return {r.file_name: r.error for r in rows.collect()}
 
-def read_folder_csv(spark: SparkSession, folder: str, names: Sequence[str], only: Column) -> DataFrame:
-    """Text scan of those CSV files of a folder that ``only``, a test of ``_metadata``, picks.
 
-    Their headers must be ``names``; files are picked when they are listed. Adds the origin of each
-    row: ``__file``, ``__block``, ``__row``, and ``__surplus``, the line of a row with too many cells.
+def header_names(line: str) -> list[str]:
+    """The names in a header line, stripped."""
+    return [name.strip() for name in next(csv.reader([line]))]
+
+
+def read_folder_csv(spark: SparkSession, folder: str, layouts: DataFrame, names: Sequence[str], width: int, only: Column) -> DataFrame:
+    """Text scan of those CSV files of a folder that ``only``, a test of ``_metadata``, picks, whatever their headers.
+
+    Lines become cells once, by position; ``layouts`` says per ``__file`` at which position each of
+    ``names`` stands (``__at``, null where the file lacks it) and how many names its header has
+    (``__width``, at most ``width``). Files are picked when they are listed; rows of files without a
+    layout are left out. Adds the origin of each row: ``__file``, ``__block``, ``__row``, and
+    ``__surplus``, the line of a row with too many cells.
     """
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _LINE]])
+    # One more than any header has, so that every row with as many cells as its header keeps its line.
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*(f"c{i}" for i in range(width + 1)), _LINE]])
     raw = spark.read.option("columnPruning", False).option("pathGlobFilter", "*.csv").csv(
         folder, schema=schema, header=True, quote='"', escape='"', nullValue="", emptyValue="",
         columnNameOfCorruptRecord=_LINE,
     ).filter(only)
-    cells = [F.when(~F.col(_quoted(n)).isin(*READER_MISSING), F.col(_quoted(n))).alias(n.strip()) for n in names]
-    return raw.select(
-        *cells,
+    cells = F.array(*[F.col(f"c{i}") for i in range(width + 1)])
+    raw = raw.select(
+        cells.alias("__cells"),
+        # A row without its line has one cell more than the widest header.
+        F.col(_LINE).isNull().alias("__full"),
+        F.coalesce(_LINE, F.concat_ws(",", *[F.coalesce(f"c{i}", F.lit("")) for i in range(width + 1)])).alias(_LINE),
         F.col("_metadata.file_name").alias("__file"),
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__row"),
-        _surplus(len(names)).alias("__surplus"),
+    ).join(layouts, "__file")
+    # Only a filled cell beyond the header, or an empty one at the end, can make a row too long.
+    beyond = F.get("__cells", F.col("__width")).isNotNull() | F.col(_LINE).endswith(",")
+    commas = F.regexp_count(F.regexp_replace(_LINE, '"[^"]*"', ""), F.lit(","))
+    cell = lambda j: F.get("__cells", F.get("__at", F.lit(j)))
+    return raw.select(
+        *[F.when(~cell(j).isin(*READER_MISSING), cell(j)).alias(n) for j, n in enumerate(names)],
+        "__file", "__block", "__row",
+        F.when(F.col("__full") | (beyond & (commas >= F.col("__width"))), F.col(_LINE)).alias("__surplus"),
     )
 
 

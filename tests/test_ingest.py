@@ -1,5 +1,8 @@
 import csv
 
+import random
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -377,3 +380,94 @@ def test_folder_of_many_files_is_one_scan_per_mapping(spark, tmp_path):
     assert report["pos_98"].status == "FAILED" and "customer_id" in report["pos_98"].error and report["pos_98"].rows_read == 1
     rejects = result.rejects.collect()
     assert len(rejects) == 30 and {r.row_index for r in rejects} == {1}
+
+
+def test_first_lines_read_little(spark, tmp_path):
+    """A long file gives its header for a chunk of it; odd files give a reason or none."""
+    (tmp_path / "long.csv").write_text("a,b\n" + "1,2\n" * 200_000)
+    (tmp_path / "late.csv").write_bytes(b"\n  \r\n\"x, y\",z\r\n1,2\n")
+    (tmp_path / "bare.csv").write_text("only,header")
+    (tmp_path / "blank.csv").write_text("\n\n")
+    (tmp_path / "bytes.csv").write_bytes(b"\xff\xfe,1\n")
+    got = {r.file_name: (r.line, r.error) for r in files.first_lines(spark, str(tmp_path)).collect()}
+    assert got["long.csv"] == ("a,b", None) and got["late.csv"] == ('"x, y",z', None) and got["bare.csv"] == ("only,header", None)
+    assert got["blank.csv"] == (None, None) and got["bytes.csv"][0] is None and "UnicodeDecodeError" in got["bytes.csv"][1]
+    assert files.header_names('"x, y", z ,"q ""r"""') == ["x, y", "z", 'q "r"']
+    with files._opened(str(tmp_path / "long.csv")) as stream:
+        total = len(stream.read())
+    read = []
+    opened = files._opened
+
+    class Counted:
+        def __init__(self, path):
+            self.stream = opened(path)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.stream.close()
+
+        def read(self, n):
+            read.append(n)
+            return self.stream.read(n)
+
+    files._opened = Counted
+    try:
+        assert files.first_line(str(tmp_path / "long.csv")) == "a,b"
+    finally:
+        files._opened = opened
+    assert sum(read) <= files._CHUNK < total
+
+
+def test_folder_of_many_headers_is_one_scan(spark, tmp_path):
+    """Fifty headers: other orders, extra columns, other widths, cells beyond the header."""
+    rng = random.Random(3)
+    for i in range(50):
+        names = [*POS_ROW, *[f"extra{k}" for k in range(i % 7)]]
+        rng.shuffle(names)
+        rows = [POS_ROW | {"transaction_id": f"t{i}-{k}"} | {n: f"{n} {i}" for n in names if n not in POS_ROW} for k in range(3)]
+        lines = [",".join(names), *[",".join(f'"{r[n]}"' for n in names) for r in rows]]
+        lines.append(",".join(["x"] * (len(names) + 1)))
+        lines.append(",".join(f'"{(POS_ROW | {"transaction_id": f"s{i}"}).get(n, "")}"' for n in names) + ",")
+        (tmp_path / f"pos_{i:02}.csv").write_text("\n".join(lines) + "\n")
+    result = ingest_folder(spark, str(tmp_path))
+    assert result.annotated._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    assert {r.transaction_id for r in result.records.collect()} == {f"t{i}-{k}" for i in range(50) for k in range(3)}
+    report = result.source_report().collect()
+    assert {(r.status, r.rows_read, r.valid, r.invalid) for r in report} == {("ok", 5, 3, 2)}
+    assert {(r.row_index, r.error_class) for r in result.rejects.collect()} == {(3, "SCHEMA"), (4, "SCHEMA")}
+    raw = ingest_folder(spark, str(tmp_path), include_raw=True).records.filter("transaction_id = 't6-0'").first()
+    assert raw.raw_source_data["extra5"] == "extra5 6" and raw.card_last4 == "0077"
+
+
+def test_unreadable_file_of_a_folder(spark, tmp_path, monkeypatch):
+    """A file that fails while it is read is reported; the others are kept."""
+    for i in range(4):
+        row = POS_ROW | {"transaction_id": f"t{i}"}
+        (tmp_path / f"pos_{i}.csv").write_text(",".join(row) + "\n" + ",".join(row.values()) + "\n")
+    result = ingest_folder(spark, str(tmp_path))
+    lost = ingest_folder(spark, str(tmp_path), unreadable={"pos_2.csv": "OSError: broken"})
+    for got in (lost, lost.materialized()):
+        assert {r.transaction_id for r in got.records.collect()} == {"t0", "t1", "t3"}
+        assert {(r.source, r.status, r.error) for r in got.source_report().collect() if r.error} == {("pos_2", "FAILED", "OSError: broken")}
+    assert files.unreadable_files(files.discover_csv(spark, str(tmp_path)).select("file_name", "path")) == {}
+    gone = spark.createDataFrame([("pos_9.csv", f"file:{tmp_path}/pos_9.csv"), ("pos_1.csv", f"file:{tmp_path}/pos_1.csv")], "file_name string, path string")
+    assert list(files.unreadable_files(gone)) == ["pos_9.csv"]
+    # A job that fails for another reason is not taken for an unreadable file.
+    broken = replace(result, annotated=result.annotated.withColumn("customer_id", F.raise_error(F.lit("lost")).cast("string")))
+    with pytest.raises(Exception, match="lost"):
+        broken.materialized()
+
+
+def test_positions_of_a_frame_behind_a_shuffle(spark):
+    """The rows come in other partitions whenever the frame is evaluated."""
+    deal = F.udf(random.random, "double").asNondeterministic()
+    rows = [tuple((POS_ROW | {"transaction_id": f"t{i}", "currency": "gbp" if i % 2 else "pounds"}).values()) for i in range(400)]
+    frame = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in POS_ROW)).repartition(7, deal())
+    result = ingest(spark, [Source(frame=frame, name="pos", mapping="pos")])
+    for _ in range(2):
+        rejects = result.rejects.collect()
+        places = sorted(r.row_index for r in rejects)
+        assert len(set(places)) == len(places) == 200 and 0 <= places[0] and places[-1] < 400
+    assert {(r.row_index, r.record.transaction_id) for r in rejects} == {(r.row_index, r.record.transaction_id) for r in result.rejects.collect()}
