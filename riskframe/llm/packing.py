@@ -52,9 +52,9 @@ from riskframe.sources.scratch import materialize
 WINDOW = 4096
 END = 2
 #: Parts of texts remembered by a task.
-KEPT = 1 << 19
+KEPT = 1 << 18
 #: Characters of texts that are encoded at a time.
-AT_ONCE = 1 << 22
+AT_ONCE = 1 << 20
 #: Repeats of a combination's first length, and lengths tried as its second.
 REPEATS, PARTNERS = 6, 24
 ROUNDS = 150
