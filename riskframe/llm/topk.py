@@ -39,7 +39,7 @@ PIVOTS = 32
 SAMPLE = 1024
 #: Rows of a block.
 QUERIES, CANDIDATES = 512, 4096
-#: Candidates evaluated between two looks at the bound.
+#: Candidates evaluated before the first look at the bound; twice as many before each next one.
 STEP = 64
 _MAX = (1 << 63) - 1
 
@@ -88,19 +88,22 @@ def best_of_block(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> pd
         least = -np.inf if floor is None or np.isnan(floor) else floor
         open_ = np.flatnonzero((bound >= least) & (ids != qid))
         open_ = open_[np.argsort(-bound[open_], kind="stable")]
-        scores: list = []
-        rows: list[int] = []
-        for at in range(0, len(open_), STEP):
-            if bound[open_[at]] < least:
-                break
-            part = open_[at : at + STEP]
-            scores.extend(inner(q[i : i + 1], c[part])[0].tolist())
-            rows.extend(part.tolist())
+        scores, rows, at, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, STEP
+        while at < len(open_) and bound[open_[at]] >= least:
+            part = open_[at : at + step]
+            # The next look at the bound comes later each time: what is left open is less and less likely to close.
+            at, step = at + step, 2 * step
+            scores, rows = np.concatenate([scores, inner(q[i : i + 1], c[part])[0]]), np.concatenate([rows, part])
             if len(scores) >= k:
-                least = max(least, float(np.nextafter(float(sorted(scores, reverse=True)[k - 1]), -np.inf)))
-        for j in sorted(range(len(rows)), key=lambda j: (-scores[j], ids[rows[j]]))[:k]:
-            if scores[j] >= least or len(rows) <= k:
-                out.append((int(qid), int(qno), int(ids[rows[j]]), max(-_MAX - 1, min(_MAX, int(scores[j]))), str(int(scores[j]))))
+                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
+                # Those as good as the k-th stay: the smaller id decides at the end.
+                keep = scores >= kth
+                scores, rows = scores[keep], rows[keep]
+                least = max(least, float(np.nextafter(float(kth), -np.inf)))
+        ranked = sorted(zip(scores.tolist(), rows.tolist()), key=lambda x: (-x[0], ids[x[1]]))[:k]
+        for score, j in ranked:
+            if score >= least or len(scores) <= k:
+                out.append((int(qid), int(qno), int(ids[j]), max(-_MAX - 1, min(_MAX, int(score))), str(int(score))))
     return pd.DataFrame(out, columns=["query_id", "query", "vec_id", "score", "whole"])
 
 
