@@ -22,5 +22,9 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    # Workers find the package wherever the tests are started.
+    from riskframe.shipping import ship
+
+    ship(session)
     yield session
     session.stop()
