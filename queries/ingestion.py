@@ -109,6 +109,17 @@ def typed_scan(spark, sf):
     return R.read_typed_csv(spark, plain_orders(spark, sf), columns)
 
 
+@query(
+    "s05_typed_scan_one_parse",
+    """SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0')::BIGINT AS code, o_totalprice AS price, o_orderkey % 2 = 0 AS even,
+    CASE WHEN o_custkey % 10 > 1 THEN o_custkey END AS customer, CAST(NULL AS DOUBLE) AS nothing
+    FROM orders""",
+)
+def typed_scan_one_parse(spark, sf):
+    columns = ["code", "price", "even", "customer", "nothing"]
+    return R.read_typed_csv(spark, plain_orders(spark, sf), columns, materialize_types=True)
+
+
 @query(
     "s06_text_scan",
     """SELECT lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS code,

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -20,6 +21,8 @@ _REAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 _INFINITE = r"(?i)^[+-]?inf(inity)?\z"
 _LINE = "__line"
 _INTEGER = r"^[+-]?[0-9]+\z"
+#: Kinds of cells as bits, and how many columns' kinds one 64-bit number holds.
+_BOOLEAN, _WHOLE, _REAL_NUMBER, _TEXT, _PER_NUMBER = 1, 2, 4, 8, 15
 
 
 def discover_csv(spark: SparkSession, folder: str) -> DataFrame:
@@ -276,47 +279,96 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def infer_types(df: DataFrame) -> dict[str, T.DataType]:
-    """Type of every text column, decided over all rows in one aggregate.
+def _kind(cell: Column) -> Column:
+    """What a cell reads as, one of four bits: boolean, whole number, other number, text. Missing cells have none."""
+    text = strip(cell)
+    whole = text.rlike(_INTEGER) & text.try_cast("bigint").isNotNull()
+    return (
+        F.when(text.isNull(), 0)
+        .when(text.isin(*CSV_BOOLEANS), _BOOLEAN)
+        .when(whole, _WHOLE)
+        .when(text.rlike(_REAL) | text.rlike(_INFINITE), _REAL_NUMBER)
+        .otherwise(_TEXT)
+        .cast("bigint")
+    )
 
-    Whole numbers that fit 64 bits are long, other numbers double, true/false words
-    boolean, the rest text. A column without any value is double.
+
+def _kinds(columns: Sequence[str]) -> list[Column]:
+    """Aggregates that hold the kinds each column has: four bits a column, so many columns a number.
+
+    An or of bits is the same in any order and when a task counts twice.
     """
-    tests: list[Column] = []
-    for i, name in enumerate(df.columns):
-        text = strip(F.col(_quoted(name)))
-        real = text.rlike(_REAL) | text.rlike(_INFINITE)
-        whole = text.rlike(_INTEGER) & text.try_cast("bigint").isNotNull()
-        tests += [
-            F.count(text).alias(f"n{i}"),
-            F.count_if(text.isin(*CSV_BOOLEANS)).alias(f"b{i}"),
-            F.count_if(whole).alias(f"w{i}"),
-            F.count_if(real).alias(f"r{i}"),
-        ]
-    seen = df.agg(*tests).first()
+    sums = []
+    for at in range(0, len(columns), _PER_NUMBER):
+        group = columns[at : at + _PER_NUMBER]
+        bits = [F.shiftleft(_kind(F.col(_quoted(name))), 4 * i) for i, name in enumerate(group)]
+        sums.append(F.bit_or(reduce(lambda x, y: x.bitwiseOR(y), bits)).alias(f"kinds{at}"))
+    return sums
+
+
+def _types_of(columns: Sequence[str], seen: dict[str, int | None]) -> dict[str, T.DataType]:
     types: dict[str, T.DataType] = {}
-    for i, name in enumerate(df.columns):
-        n = seen[f"n{i}"]
-        if n == 0:
-            types[name] = T.DoubleType()
-        elif seen[f"b{i}"] == n:
+    for i, name in enumerate(columns):
+        group = i - i % _PER_NUMBER
+        kinds = ((seen.get(f"kinds{group}") or 0) >> (4 * (i - group))) & 15
+        if kinds == _BOOLEAN:
             types[name] = T.BooleanType()
-        elif seen[f"w{i}"] == n:
+        elif kinds == _WHOLE:
             types[name] = T.LongType()
-        elif seen[f"r{i}"] == n:
+        elif kinds & ~(_WHOLE | _REAL_NUMBER) == 0:
             types[name] = T.DoubleType()
         else:
             types[name] = T.StringType()
     return types
 
 
+def infer_types(df: DataFrame) -> dict[str, T.DataType]:
+    """Type of every text column, decided over all rows in one aggregate.
+
+    Whole numbers that fit 64 bits are long, other numbers double, true/false words
+    boolean, the rest text. A column without any value is double.
+    """
+    seen = df.agg(*_kinds(df.columns)).first().asDict() if df.columns else {}
+    return _types_of(df.columns, seen)
+
+
+def typed_table(text: DataFrame) -> DataFrame:
+    """The text columns with their types, as a written table: cells are parsed once.
+
+    The first rows give a guess by which cells are stored, each with its text where the guess does
+    not give that back. The kinds of all cells are gathered while the table is written, and they
+    alone decide the types: a column that was guessed wrong is made again from what is stored.
+    """
+    names = text.columns
+    guess = infer_types(text.sparkSession.createDataFrame(text.take(TYPING_ROWS), text.schema))
+    stored = []
+    for i, name in enumerate(names):
+        cell, value = F.col(_quoted(name)), _typed(name, guess[name])
+        stored.append(value.alias(f"v{i}"))
+        if not isinstance(guess[name], T.StringType):
+            stored.append(F.when(~value.cast("string").eqNullSafe(cell), cell).alias(f"t{i}"))
+    seen = Observation()
+    table = materialize(text.observe(seen, *_kinds(names)).select(*stored), "typed")
+    types = _types_of(names, seen.get)
+    final = []
+    for i, name in enumerate(names):
+        value, kept = F.col(f"v{i}"), f"t{i}"
+        if types[name] != guess[name]:
+            value = _cast(F.coalesce(kept, value.cast("string")) if kept in table.columns else value, types[name])
+        final.append(value.alias(name))
+    return table.select(*final)
+
+
 def apply_types(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
     """Cast text columns to the given types; columns not named stay as they are."""
     return df.select(*[_typed(name, types.get(name)).alias(name) for name in df.columns])
 
 
 def _typed(name: str, dtype: T.DataType | None) -> Column:
-    cell = F.col(_quoted(name))
+    return _cast(F.col(_quoted(name)), dtype)
+
+
+def _cast(cell: Column, dtype: T.DataType | None) -> Column:
     if dtype is None or isinstance(dtype, T.StringType):
         return cell
     text = strip(cell)
@@ -332,10 +384,12 @@ def read_typed_csv(
     columns: Sequence[str] | None = None,
     types: dict[str, T.DataType] | None = None,
     multiline: bool = False,
+    materialize_types: bool = False,
 ) -> DataFrame:
     """Typed scan with an optional column subset; an unknown column is an error.
 
-    Types are inferred over the chosen columns unless given.
+    Types are inferred over the chosen columns unless given: by a pass of its own before the lazy
+    scan, or with ``materialize_types`` while the typed columns are written, in one pass in all.
     """
     text = read_text_csv(spark, path, multiline, columns=columns)
     if columns is not None:
@@ -343,6 +397,8 @@ def read_typed_csv(
         if unknown:
             raise ValueError(f"no such column(s) in {path}: {', '.join(unknown)}")
         text = text.select(*[_quoted(c) for c in columns])
+    if types is None and materialize_types and text.columns:
+        return typed_table(text)
     return apply_types(text, infer_types(text) if types is None else types)
 
 
