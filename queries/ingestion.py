@@ -12,6 +12,7 @@ from riskframe.contract import CANONICAL_FIELDS
 from riskframe.operators.mappings import ATM, ONLINE, POS
 from riskframe.sources.files import apply_types, infer_types
 from riskframe.sources.scratch import materialize, scratch_path
+from riskframe.streaming.ordered import OrderedIngest
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
@@ -457,3 +458,46 @@ def broken_part_file(spark, sf):
     build().select(*reversed(POS.required)).write.mode("append").csv(path, header=True)
     specs = [*sources(spark, sf)[:2], R.Source(path, "broken", "pos")]
     return R.ingest(spark, specs).materialized().source_report().select("source", "status", "rows_read")
+
+
+#: Longer than the order dates reach, so that all copies of an id are one session.
+_DELAY = "4000 days"
+_STREAMS: dict[tuple[str, str], OrderedIngest] = {}
+
+
+def settled_stream(spark, sf) -> OrderedIngest:
+    """The three raw sources as streams whose newest files arrive first, one a batch, closed by a record of a later time.
+
+    Run once per session: the records and the report read the tables that it leaves.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _STREAMS:
+        return _STREAMS[key]
+    folders = {name: (written(spark, sf, f"{name}_raw", None), mapping) for name, (_, mapping) in _KINDS.items() if sources(spark, sf)}
+    closing, path = scratch_path(spark, "closing"), scratch_path(spark, "stream")
+    last = {f: "0" for f in POS.required} | {"transaction_id": "closing", "amount": "1", "currency": "EUR", "card_last4": "0000"}
+    last = spark.createDataFrame([last | {"timestamp": "2030-01-01T00:00:00"}]).select(*POS.required)
+    last.limit(0).write.csv(closing, header=True)
+    stream = OrderedIngest(
+        spark, {**folders, "closing": (closing, POS)}, path, _DELAY, {"latestFirst": "true", "maxFilesPerTrigger": "1"}
+    )
+    stream.land().awaitTermination()
+    stream.settle().awaitTermination()
+    last.write.mode("append").csv(closing, header=True)
+    stream.land().awaitTermination()
+    stream.settle().awaitTermination()
+    _STREAMS[key] = stream
+    return stream
+
+
+@query("x01_stream_first_by_position", f"WITH {READ} SELECT {_RECORDS} FROM valid WHERE k = 1")
+def stream_first_by_position(spark, sf):
+    return settled_stream(spark, sf).records().filter("source != 'closing'").select(*_SHOWN)
+
+
+@query(
+    "x01_stream_report",
+    f"WITH {REPORT} SELECT source, rows_read, valid, invalid, duplicates_removed, CAST(0 AS BIGINT) AS waiting FROM report",
+)
+def stream_report(spark, sf):
+    return settled_stream(spark, sf).report().filter("source != 'closing'")

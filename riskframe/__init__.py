@@ -69,5 +69,6 @@ from riskframe.sources.files import (
 )
 from riskframe.sources.routing import detect_mapping, route, routed_files
 from riskframe.sources.sinks import canonical_frame, write_csv, write_parquet, write_rejects
+from riskframe.streaming.ordered import OrderedIngest
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -18,19 +18,25 @@ from riskframe.operators.validation import (
     validate,
 )
 
+_ORIGIN = {"__file": "path", "__block": "block_start"}
 
-def read_stream(spark: SparkSession, folder: str, mapping: SourceMapping) -> DataFrame:
+
+def read_stream(
+    spark: SparkSession, folder: str, mapping: SourceMapping, origin: bool = False, **reader: str
+) -> DataFrame:
     """Stream of the CSV files that appear in a folder, every required column as text.
 
     Files must have the mapping's columns in its order; a header that differs is an error.
+    ``origin`` adds the file and block of each row; ``reader`` are options of the file stream.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in mapping.required])
-    raw = spark.readStream.schema(schema).csv(
+    raw = spark.readStream.options(**reader).schema(schema).csv(
         folder, header=True, quote='"', escape='"', nullValue="", emptyValue="",
         enforceSchema=False,
     )
     return raw.select(
-        *[F.when(~F.col(c).isin(*READER_MISSING), F.col(c)).alias(c) for c in mapping.required]
+        *[F.when(~F.col(c).isin(*READER_MISSING), F.col(c)).alias(c) for c in mapping.required],
+        *[F.col(f"_metadata.file_{part}").alias(name) for name, part in _ORIGIN.items() if origin],
     )
 
 

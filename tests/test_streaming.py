@@ -1,8 +1,12 @@
-from test_ingest import POS_ROW, put
+import random
 
-from riskframe.operators.mappings import POS
+from test_ingest import ATM_ROW, POS_ROW, put
+
+from riskframe.contract import CANONICAL_FIELDS
+from riskframe.operators.mappings import ATM, POS
 from riskframe.plans.ingest import Source, ingest
 from riskframe.streaming.ingest import read_stream, start_ingest
+from riskframe.streaming.ordered import OrderedIngest
 
 
 def test_stream_matches_batch(spark, tmp_path):
@@ -18,3 +22,41 @@ def test_stream_matches_batch(spark, tmp_path):
     assert ids == sorted(r.transaction_id for r in batch.records.collect()) == ["S-501", "p2"]
     rejects = spark.read.parquet(paths[1]).collect()
     assert [(r.field, r.value) for r in rejects] == [("currency", "kroner")]
+
+
+def test_first_by_position_whatever_arrives_first(spark, tmp_path):
+    rng = random.Random(5)
+    folders = {name: tmp_path / name for name in ("till", "cash")}
+    for f in folders.values():
+        f.mkdir()
+    rows = lambda row, n: [{**row, "transaction_id": f"id-{rng.randrange(25)}", "customer_id": f"K-{rng.random()}", "timestamp": f"2025-06-0{rng.randint(1, 3)}T0{rng.randrange(9)}:00:00",
+                            "amount": rng.choice(["5", "6.50", "-1"])} for _ in range(n)]
+    stream = OrderedIngest(spark, {"till": (str(folders["till"]), POS), "cash": (str(folders["cash"]), ATM)}, str(tmp_path / "out"), delay="7 days")
+
+    def run():
+        for query in (stream.land(), stream.settle()):
+            query.awaitTermination(120)
+
+    # Later positions arrive first.
+    for n in (3, 1, 2):
+        put(folders["cash"] / f"atm_{n}.csv", *rows(ATM_ROW, 20))
+        put(folders["till"] / f"pos_{n}.csv", *rows(POS_ROW, 15))
+        run()
+    assert stream.records().count() == 0 and {r.waiting for r in stream.report().collect()} != {0}
+    batch = ingest(spark, [Source(str(folders["till"]), "till", "pos"), Source(str(folders["cash"]), "cash", "atm")])
+    shown = lambda df: sorted(str(r) for r in df.select(*[f for f in CANONICAL_FIELDS if f != "raw_source_data"]).collect())
+    want, report = shown(batch.records), {r.source: r for r in batch.source_report().collect()}
+    rejects = sorted((r.source, r.field, r.value) for r in batch.rejects.collect())
+    put(folders["till"] / "pos_9.csv", {**POS_ROW, "transaction_id": "closing", "timestamp": "2025-09-01T00:00:00"})
+    run()
+    assert shown(stream.records()) == want
+    assert sorted((r.source, r.field, r.value) for r in stream.rejects().collect()) == rejects
+    for r in stream.report().collect():
+        closing = int(r.source == "till")
+        same = report[r.source]
+        assert (r.rows_read - closing, r.valid - closing, r.invalid) == (same.rows_read, same.valid, same.invalid)
+        assert (r.duplicates_removed, r.waiting) == (same.duplicates_removed, closing)
+    # A record later than the watermark waits for good.
+    put(folders["till"] / "pos_0.csv", {**POS_ROW, "transaction_id": "late", "timestamp": "2025-06-01T00:00:00"})
+    run()
+    assert shown(stream.records()) == want and {r.source: r.waiting for r in stream.report().collect()} == {"till": 2, "cash": 0}
