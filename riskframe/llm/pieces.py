@@ -11,8 +11,10 @@ word starts a word's pieces are looked up or computed once per task and kept.
 
 The vocabulary's own order of merges plays no part: a model file trained for merging gives the
 pieces that its scores make best, as the library gives for the same pieces marked as a unigram model.
-Equal sums are told apart by a fixed weight of each piece, so which pieces are used does not depend
-on the cuts; the order of one and the same pieces inside a run without spaces may.
+Equal sums are told apart by a fixed weight of each piece, and paths that are equal still by their
+lengths from the end: the longer last piece wins, then the longer one before it. Each matrix carries,
+beside the sums, the rank of its entry states by that rule, and ranks combine as the sums do, so the
+pieces do not depend on the cuts.
 
 Defined cases. As the library does, a text gets a word mark in front and spaces become word marks;
 nothing else is normalised, so decoding gives back the text. A character without a piece of its own,
@@ -50,6 +52,7 @@ MARK = "▁"
 OWN_MARK = "\udc81"
 #: Scores are clamped to this and scaled, with a small weight per piece below the scale.
 LOWEST, SCALE, FLOOR = -1_000_000, 1 << 16, -(1 << 61)
+_LAST = 1 << 40
 
 
 def model_path(model: str = "piece_bpe_32k.model") -> str:
@@ -254,19 +257,32 @@ class Vocabulary:
     # A chunk is ``text[:size]`` followed by up to ``longest - 1`` characters of the next one.
 
     def sums(self, text: str, size: int, starts: int) -> np.ndarray:
-        """[entry, exit] best sums over a stretch without word starts inside; entries below ``starts``."""
+        """[2, entry, exit] best sums over a stretch without word starts inside, entries below ``starts``, and ranks.
+
+        Ranks order the entries of one exit by the lengths of their best paths' pieces from the end,
+        the longest first; entries that do not reach it share the last place.
+        """
         states = self.longest
         best = np.full((len(text) + 1, starts), FLOOR, np.int64)
+        rank = np.full((len(text) + 1, starts), starts, np.int64)
         for s in range(min(starts, len(text) + 1)):
-            best[s, s] = 0
+            best[s, s], rank[s, s] = 0, 0
         for end in range(1, min(len(text), size + states - 1) + 1):
+            path = np.where(best[end] > FLOOR, 0, _LAST)
+            # Longer pieces come first, and a shorter one must be better than they are.
             for n, w in self.edges(text, end):
                 # A piece that starts at the cut or beyond belongs to the next chunk.
                 if end - n < size:
-                    np.maximum(best[end], np.where(best[end - n] > FLOOR, best[end - n] + w, FLOOR), out=best[end])
-        out = np.full((starts, states), FLOOR, np.int64)
-        last = best[size : size + states].T
-        out[:, : last.shape[1]] = last
+                    made = np.where(best[end - n] > FLOOR, best[end - n] + w, FLOOR)
+                    better = made > best[end]
+                    best[end][better] = made[better]
+                    path[better] = (states - n + 1) * (starts + 1) + rank[end - n][better]
+            # The entry at this place comes first: the piece that ends here began before the chunk.
+            rank[end] = np.where(best[end] > FLOOR, np.searchsorted(np.sort(path), path), starts)
+        out = np.stack([np.full((starts, states), FLOOR, np.int64), np.full((starts, states), starts, np.int64)])
+        for into, rows in zip(out, (best, rank)):
+            last = rows[size : size + states].T
+            into[:, : last.shape[1]] = last
         return out
 
     def spread(self, chunk: str, size: int) -> tuple[str, list[str], str]:
@@ -281,11 +297,13 @@ class Vocabulary:
         states = self.longest
         if not tail:
             return self.sums(chunk, size, states)
-        first = self.sums(head, len(head), states)[:, 0]
+        first, ranks = self.sums(head, len(head), states)[:, :, 0]
         middle = self.solve(words)[1].sum()
-        last = self.sums(tail, size - (len(chunk) - len(tail)), 1)[0]
+        last = self.sums(tail, size - (len(chunk) - len(tail)), 1)[0, 0]
         out = first[:, None] + (middle + last)[None, :]
-        return np.where((first[:, None] > FLOOR) & (last[None, :] > FLOOR), out, FLOOR)
+        reached = (first[:, None] > FLOOR) & (last[None, :] > FLOOR)
+        # All paths meet at the word start behind the head, so the head alone ranks them.
+        return np.stack([np.where(reached, out, FLOOR), np.where(reached, ranks[:, None], states)])
 
     def trace(self, chunk: str, size: int, entry: int, leave: int) -> list[int]:
         """The pieces that start in the chunk, on the best path between two states."""
@@ -321,27 +339,42 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The max-plus product."""
-    sums = np.where((a[:, :, None] > FLOOR) & (b[None, :, :] > FLOOR), a[:, :, None] + b[None, :, :], FLOOR)
-    return sums.max(axis=1)
+    """The max-plus product of two stretches' matrices, with the ranks of its entries.
+
+    Of equal sums that state between the two is taken whose path through the second ranks first.
+    """
+    (left, left_ranks), (right, right_ranks) = a, b
+    states = len(right)
+    sums = np.where((left[:, :, None] > FLOOR) & (right[None, :, :] > FLOOR), left[:, :, None] + right[None, :, :], FLOOR)
+    most = sums.max(axis=1)
+    by_rank = np.where(sums == most[:, None, :], right_ranks[None, :, :], states + 1)
+    between = by_rank.argmin(axis=1)
+    exits = np.arange(right.shape[1])
+    path = right_ranks[between, exits] * (states + 2) + left_ranks[np.arange(len(left))[:, None], between]
+    path = np.where(most > FLOOR, path, _LAST)
+    order = np.sort(path, axis=0)
+    ranks = np.stack([np.searchsorted(order[:, z], path[:, z]) for z in exits], axis=1)
+    return np.stack([most, np.where(most > FLOOR, ranks, states)])
 
 
 def states_between(matrices: list[np.ndarray], entry: int, leave: int) -> list[int]:
     """The states before the first matrix, between all, and after the last, on the best path."""
-    forward = [np.full(len(matrices[0]), FLOOR, np.int64)]
+    forward = [np.full(len(matrices[0][0]), FLOOR, np.int64)]
     forward[0][entry] = 0
-    for m in matrices:
-        forward.append(times(forward[-1][None, :], m)[0])
+    for sums, _ in matrices:
+        before = forward[-1][:, None]
+        forward.append(np.where((before > FLOOR) & (sums > FLOOR), before + sums, FLOOR).max(axis=0))
     states = [leave]
-    for m, before in zip(reversed(matrices), reversed(forward[:-1])):
-        column = m[:, states[-1]]
-        states.append(int(np.argmax(np.where((before > FLOOR) & (column > FLOOR), before + column, FLOOR))))
+    for (sums, ranks), before in zip(reversed(matrices), reversed(forward[:-1])):
+        column = sums[:, states[-1]]
+        total = np.where((before > FLOOR) & (column > FLOOR), before + column, FLOOR)
+        states.append(int(np.argmin(np.where(total == total.max(), ranks[:, states[-1]], len(total) + 1))))
     return states[::-1]
 
 
 def _square(raw: bytes) -> np.ndarray:
-    n = int(round((len(raw) // 8) ** 0.5))
-    return np.frombuffer(raw, np.int64).reshape(n, n)
+    n = int(round((len(raw) // 16) ** 0.5))
+    return np.frombuffer(raw, np.int64).reshape(2, n, n)
 
 
 def block_product(rows: pd.DataFrame) -> pd.DataFrame:

@@ -1,3 +1,4 @@
+import functools
 import random
 
 import numpy as np
@@ -86,7 +87,7 @@ def test_chunks_give_the_same_pieces(chunk):
         ids = [i for c, a, z in zip(cut, states, states[1:]) for i in v.trace(*c, a, z)]
         weight = lambda x: sum(v.table[v.pieces[i]][1] for i in x if v.pieces[i] in v.table)
         assert v.decode(ids) == text == v.decode(v.encode(text))
-        assert weight(ids) == weight(v.encode(text)) and sorted(ids) == sorted(v.encode(text))
+        assert weight(ids) == weight(v.encode(text)) and ids == v.encode(text)
         assert sum(v.path(w)[1] for w in P.words_of(line)) == brute(v, line)
 
 
@@ -95,6 +96,27 @@ def test_product_is_associative():
     line = P.marked(texts()[-1])
     a, b, c = (v.matrix(line[i : i + 20 + v.longest - 1], 20) for i in (0, 20, 40))
     assert (P.times(P.times(a, b), c) == P.times(a, P.times(b, c))).all()
+    run = P.marked("a" * 200)
+    a, b, c = (v.matrix(run[i : i + 20 + v.longest - 1], 20) for i in (20, 40, 60))
+    assert (P.times(P.times(a, b), c) == P.times(a, P.times(b, c))).all()
+    whole = v.matrix(run[20 : 80 + v.longest - 1], 60)
+    assert (P.times(P.times(a, b), c) == whole).all()
+
+
+@pytest.mark.parametrize("chunk", [16, 17, 29, 64, 100])
+def test_ties_do_not_depend_on_the_cuts(chunk):
+    v, rng = P.vocabulary(P.model_path()), random.Random(chunk)
+    ties = ["a" * 700, "ab" * 300, "aab" * 150 + " " + "-" * 333, "=" * 400, "0" * 257 + "1" + "0" * 90, "x " * 60 + "z" * 150]
+    ties += ["".join(rng.choice("aae") for _ in range(rng.randint(100, 400))) for _ in range(10)]
+    for text in ties:
+        line = P.marked(text)
+        cut = [(line[i : i + chunk + v.longest - 1], min(chunk, len(line) - i)) for i in range(0, len(line), chunk)]
+        matrices = [v.matrix(*c) for c in cut]
+        states = P.states_between(matrices, 0, 0)
+        assert [i for c, a, z in zip(cut, states, states[1:]) for i in v.trace(*c, a, z)] == v.encode(text)
+        # The same states by blocks of three.
+        blocks = [functools.reduce(P.times, matrices[i : i + 3]) for i in range(0, len(matrices), 3)]
+        assert P.states_between(blocks, 0, 0) == [*states[:-1:3], states[-1]]
 
 
 @pytest.mark.parametrize("chunk,block", [(1 << 14, 256), (64, 3)])
@@ -107,7 +129,7 @@ def test_round_trip_in_spark(spark, monkeypatch, chunk, block):
     assert len(rows) == len(odd_docs())
     v = P.vocabulary(P.model_path())
     for r in rows:
-        assert r.decoded == (r.text or "") and sorted(r.pieces) == sorted(v.encode(r.text or ""))
+        assert r.decoded == (r.text or "") and r.pieces == v.encode(r.text or "")
     assert P.encode(docs.limit(0)).collect() == []
 
 
