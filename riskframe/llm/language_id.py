@@ -14,8 +14,9 @@ id and text, at most one in five, which are not counted. Prediction covers every
 
 Defined cases. A null text and one without a letter is ``und`` with score 0; so is every text where
 no language was learned. Ties go to the language first by code point. Rows with a null id are
-neither held out nor learned from. Repeated rows are learned from once and predicted alike. An empty
-table gives an empty result.
+neither held out nor learned from. Repeated rows are learned from once and predicted alike. A very long
+text is scored whole. Only doc_id, text and, to learn, lang are read, so other columns cannot clash. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
