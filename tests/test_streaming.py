@@ -1,12 +1,14 @@
 import random
 
+from pyspark.sql import functions as F
 from test_ingest import ATM_ROW, POS_ROW, put
 
 from riskframe.contract import CANONICAL_FIELDS
 from riskframe.operators.mappings import ATM, POS
+from riskframe.operators.validation import validate
 from riskframe.plans.ingest import Source, ingest
 from riskframe.streaming.ingest import read_stream, start_ingest
-from riskframe.streaming.ordered import OrderedIngest
+from riskframe.streaming.ordered import _ON_DISK, OrderedIngest, first_by_position
 
 
 def test_stream_matches_batch(spark, tmp_path):
@@ -60,3 +62,36 @@ def test_first_by_position_whatever_arrives_first(spark, tmp_path):
     put(folders["till"] / "pos_0.csv", {**POS_ROW, "transaction_id": "late", "timestamp": "2025-06-01T00:00:00"})
     run()
     assert shown(stream.records()) == want and {r.source: r.waiting for r in stream.report().collect()} == {"till": 2, "cash": 0}
+
+
+def test_open_records_lie_on_disk_and_keep_their_cells(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    stream = OrderedIngest(spark, {"till": (str(folder), POS)}, str(tmp_path / "out"), delay="7 days")
+    before = {k: spark.conf.get(k, None) for k in _ON_DISK}
+    for name, row in (("pos_2", POS_ROW), ("pos_1", {**POS_ROW, "amount": "7"}), ("pos_9", {**POS_ROW, "transaction_id": "last", "timestamp": "2030-01-01T00:00:00"})):
+        put(folder / f"{name}.csv", row)
+        for query in (stream.land(), stream.settle()):
+            query.awaitTermination(120)
+    names = [p.name for p in (tmp_path / "out" / "state-records" / "state").rglob("*")]
+    # Not as snapshots of a map in memory.
+    assert any(n.endswith(".changelog") for n in names) and not any(n.endswith((".delta", ".snapshot")) for n in names)
+    assert {k: spark.conf.get(k, None) for k in _ON_DISK} == before
+    (record,) = stream.records().collect()
+    assert (record.transaction_id, float(record.amount), record.raw_source_data, record.copies) == ("S-501", 7.0, None, [2])
+
+
+def test_the_first_record_brings_its_map(spark, tmp_path):
+    rows = read_batch(spark, tmp_path)
+    got = first_by_position(rows, 1, "7 days")
+    assert dict(got.dtypes)["raw_source_data"] == "map<string,string>"
+    assert [(r.transaction_id, r.raw_source_data, r.copies) for r in got.collect()] == [("S-501", {"b": None, "a": "2"}, [2])]
+
+
+def read_batch(spark, tmp_path):
+    """Two copies of a record; the later row has the earlier position."""
+    put(tmp_path / "a.csv", {**POS_ROW, "amount": "1"}, {**POS_ROW, "amount": "2"})
+    raw = spark.read.csv(str(tmp_path / "a.csv"), header=True)
+    position = [F.lit(0).alias("__source"), F.lit("f").alias("__file"), F.lit(0).alias("__block"), (-F.col("amount").cast("int")).alias("__row")]
+    cells = F.create_map(F.lit("b"), F.lit(None).cast("string"), F.lit("a"), F.col("amount")).alias("raw_source_data")
+    return validate(POS.apply(raw.select(*POS.required, *position, cells), clean=False))
