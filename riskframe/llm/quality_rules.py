@@ -28,6 +28,8 @@ PRIOR = 1_000.0
 THRESHOLD = -1.0
 
 WINDOW = 5
+#: Bits of a sieve of ids, and of each of its rows (what ``bitmap_construct_agg`` makes).
+SIEVE, SIEVE_ROW = 1 << 26, 1 << 15
 
 
 def base_counts(text: Column) -> dict[str, Column]:
@@ -85,14 +87,35 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return good.select(F.col("doc_id").alias("trusted_id")).distinct()
 
 
+def with_good(rows: DataFrame, trusted: DataFrame) -> DataFrame:
+    """The rows with ``good``: 1 where ``trusted`` holds their ``id``, else null.
+
+    ``trusted`` may grow with the corpus, so the join is a shuffle unless Spark finds it small. So that few texts
+    move, a sieve of bits, of a fixed size at most, first tells the rows whose id is surely not in ``trusted``;
+    ids that it lets through are compared.
+    """
+    flagged = trusted.withColumn("good", F.lit(1))
+    joined = lambda df: df.join(flagged, F.col("id") == F.col("trusted_id"), "left").select("id", "body", "good")
+    if rows.schema["id"].dataType != trusted.schema["trusted_id"].dataType:
+        return joined(rows)
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(SIEVE))
+    place = F.pmod(F.col("bit"), F.lit(SIEVE_ROW))
+    sieve = trusted.select(bit("trusted_id").alias("bit")).groupBy(F.floor(F.col("bit") / SIEVE_ROW).alias("sieve_row"))
+    sieve = sieve.agg(F.bitmap_construct_agg(place).alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.call_function("shiftright", byte, F.pmod(place, F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    placed = rows.withColumn("bit", bit("id")).join(F.broadcast(sieve), F.floor(F.col("bit") / SIEVE_ROW) == F.col("sieve_row"), "left")
+    placed = placed.select("id", "body", F.coalesce(held, F.lit(False)).alias("maybe"))
+    others = placed.where(~F.col("maybe")).select("id", "body", F.lit(None).cast("int").alias("good"))
+    return joined(placed.where("maybe").select("id", "body")).unionByName(others)
+
+
 def ratio_model(docs: DataFrame, trusted: DataFrame) -> list[float]:
     """The log ratio of each bucket: 2 * BUCKETS numbers, whatever the corpus.
 
     Every n-gram of every document is counted; tasks add up their own counts before the shuffle.
-    ``trusted`` may grow with the corpus, so it is joined by a shuffle unless Spark finds it small.
     """
-    rows = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
-    rows = rows.join(trusted.withColumn("good", F.lit(1)), F.col("id") == F.col("trusted_id"), "left")
+    rows = with_good(docs.select(F.col("doc_id").alias("id"), F.col("text").alias("body")), trusted)
     gram = features(hashes(words(F.col("body"))), hashes(shapes(F.col("body"))))
     grams = rows.select("good", F.explode(gram).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("good").alias("good"))

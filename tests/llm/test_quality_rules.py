@@ -58,3 +58,19 @@ def test_plan_is_native_and_empty_tables_work(spark):
     plan = Q.filter_quality(docs, trusted)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
     assert Q.quality_report(docs.limit(0), trusted.limit(0)).collect() == []
+
+
+def test_only_texts_that_may_be_trusted_move(spark, monkeypatch):
+    ids = [None, *range(-300, 300), *range(40), 1 << 62]
+    rows = spark.createDataFrame([(i, f"text {i}") for i in ids], "id long, body string")
+    trusted = Q.trusted_ids(labels(spark, [(i, 1, 0, None) for i in (None, *range(0, 900, 3), 1 << 62)]))
+    wanted = sorted(((str(i), 1 if i is not None and (0 <= i and i % 3 == 0 or i == 1 << 62) else None) for i in ids), key=str)
+    shown = lambda df: sorted(((str(r.id), r.good) for r in df.collect()), key=str)
+    assert shown(Q.with_good(rows, trusted)) == wanted
+    plan = Q.with_good(rows, trusted)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "bitmap_construct_agg" in plan
+    # Whatever collides, and with ids of another type.
+    monkeypatch.setattr(Q, "SIEVE", 16)
+    assert shown(Q.with_good(rows, trusted)) == wanted
+    assert shown(Q.with_good(rows, trusted.selectExpr("cast(trusted_id AS decimal(20,0)) AS trusted_id"))) == wanted
+    assert {g for _, g in shown(Q.with_good(rows, trusted.limit(0)))} == {None}
