@@ -30,7 +30,7 @@ _STATS = (
 # Presence and constancy are three small aggregates per column; this many columns side by
 # side still make code the JVM compiles.
 _SIDE_BY_SIDE = 16
-_FIXED_WIDTH = (
+FIXED_WIDTH = (
     T.IntegralType, T.FloatType, T.DoubleType, T.BooleanType, T.DateType, T.TimestampType,
     T.TimestampNTZType,
 )
@@ -63,7 +63,7 @@ def presence(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     names = list(df.columns if columns is None else columns)
     if not names:
         return empty_frame(df, "column string, n bigint, missing bigint, is_constant boolean")
-    fixed = [c for c in names if isinstance(df.schema[c].dataType, _FIXED_WIDTH)]
+    fixed = [c for c in names if isinstance(df.schema[c].dataType, FIXED_WIDTH)]
     groups = [
         kind[start : start + _SIDE_BY_SIDE]
         for kind in (fixed, [c for c in names if c not in fixed])

@@ -40,8 +40,10 @@ from riskframe.operators.quantiles import quantiles
 from riskframe.operators.roles import named_like_periods
 from riskframe.sources.scratch import materialize
 
-#: Sketched distinct counts up to so many times a limit are settled by counting.
+#: Estimated distinct counts up to so many times a limit are settled by counting.
 _SLACK = 4
+#: Buckets per value that counts as few.
+_BUCKETS = 16
 
 
 def _rows_name(df: DataFrame) -> str:
@@ -200,21 +202,33 @@ class TableState:
 
     @cached_property
     def _guess(self) -> dict[str, int]:
-        """Sketched distinct counts of the columns whose role or counts depend on them."""
+        """Estimated distinct counts of the columns whose role or counts depend on them.
+
+        Values are dealt into buckets by a hash; how many buckets of a column have one tells few values from many.
+        No column has fewer values than buckets. One small piece of generated code serves any number of columns, where
+        sketches side by side have none.
+        """
         named = [f.name for f in self.df.schema if is_number(f.dataType) or is_category_type(f.dataType)]
         named = list(dict.fromkeys([*named, *named_like_periods(self.df.columns)]))
         known = {c: 0 for c in named if not self.have(c) and c not in self.broken}
         look = [c for c in named if c not in known and c not in self.broken]
         if look:
-            row = self.df.agg(*[F.approx_count_distinct(value_of(self.df, c)).alias(f"d{i}") for i, c in enumerate(look)]).first()
-            known |= {c: row[f"d{i}"] for i, c in enumerate(look)}
+            buckets = _BUCKETS * self._few_limit
+            cells = {c: value_of(self.df, c) for c in look}
+            dealt = {c: F.when(v.isNotNull(), F.pmod(F.xxhash64(v), F.lit(buckets)).cast("int")) for c, v in cells.items()}
+            hit = melt(self.df, dealt, "bucket").groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("n"))
+            known |= dict.fromkeys(look, 0)
+            known |= {r["column"]: r["hit"] for r in hit.groupBy("column").agg(F.count(F.lit(1)).alias("hit")).collect()}
         return known
 
     @cached_property
     def few(self) -> list[str]:
         """Columns that can have at most as many values as a category or a period may."""
-        limit = _SLACK * max(self.max_categories, self.max_periods)
-        return [c for c in self.df.columns if self._guess.get(c, limit + 1) <= limit]
+        return [c for c in self.df.columns if self._guess.get(c, self._few_limit + 1) <= self._few_limit]
+
+    @property
+    def _few_limit(self) -> int:
+        return _SLACK * max(self.max_categories, self.max_periods)
 
     @cached_property
     def counts(self) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from riskframe.contract import PERIOD_JUMP
 from riskframe.functions import share
 from riskframe.operators.columns import cell, held, is_positive, label_value, require, text_of, value_of
-from riskframe.operators.profile import with_share
+from riskframe.operators.profile import FIXED_WIDTH, with_share
 from riskframe.sources.scratch import materialize
 
 
@@ -87,15 +87,14 @@ def row_order(df: DataFrame, column: str, order_by: Sequence[str]) -> DataFrame:
 
 
 def row_orders(df: DataFrame, columns: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """:func:`row_order` of several columns with few values, by one scan and one small table of stretches."""
+    """:func:`row_order` of several columns with few values, by one small table of stretches."""
     require(df, *columns)
     position = F.struct(*order_by) if len(order_by) > 1 else F.col(order_by[0])
-    cells = df.select(position.alias("__at"), *[text_of(df, c).alias(c) for c in columns])
-    stretches = (
-        cells.unpivot([F.col("__at")], [cell(c) for c in columns], "column", "value")
-        .groupBy("column", "value")
-        .agg(F.min("__at").alias("first"), F.max("__at").alias("last"))
-    )
+    cells = df.select(position.alias("__at"), F.col(order_by[0]).alias("__lead"), *[text_of(df, c).alias(c) for c in columns])
+    long = cells.unpivot([F.col("__at"), F.col("__lead")], [cell(c) for c in columns], "column", "value")
+    if len(order_by) > 1 and isinstance(cells.schema["__lead"].dataType, FIXED_WIDTH):
+        long = _at_ends(long)
+    stretches = long.groupBy("column", "value").agg(F.min("__at").alias("first"), F.max("__at").alias("last"))
     small = held(stretches)
     found = []
     for c in columns:
@@ -112,6 +111,26 @@ def row_orders(df: DataFrame, columns: Sequence[str], order_by: Sequence[str]) -
     return reduce(DataFrame.unionByName, found)
 
 
+def _at_ends(long: DataFrame) -> DataFrame:
+    """The rows whose first position column is the least or the greatest of their value; one more scan.
+
+    The least and greatest of whole positions, which are structs, are found by sorting rows; of a fixed-width
+    column they are not, and they leave few rows. Null comes before all others.
+    """
+    lead = F.col("__lead")
+    ends = long.groupBy("column", "value").agg(
+        F.min(lead).alias("low"), F.max(lead).alias("high"), F.bool_or(lead.isNull()).alias("gap")
+    )
+    ends = held(ends.select(
+        F.col("column").alias("end_column"), F.col("value").alias("end_value"),
+        F.when(~F.col("gap"), F.col("low")).alias("low"), "high",
+    ))
+    same = (F.col("column") == F.col("end_column")) & F.col("value").eqNullSafe(F.col("end_value"))
+    # One row per value of the columns.
+    at = lead.eqNullSafe(F.col("low")) | lead.eqNullSafe(F.col("high"))
+    return long.join(F.broadcast(ends), same & at, "left_semi")
+
+
 def _direction() -> Column:
     return (
         F.when(F.coalesce("gap", F.lit(False)), "none")

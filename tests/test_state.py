@@ -130,3 +130,38 @@ def test_orders_of_several_columns(spark):
     got = {r["column"]: r["direction"] for r in temporal.row_orders(df, ["up", "down", "gap", "no"], ["seq"]).collect()}
     assert got == {"up": "increasing", "down": "decreasing", "gap": "none", "no": "none"}
     assert got == {c: R.row_order(df, c, ["seq"]).first()["direction"] for c in got}
+
+
+def test_one_round_of_sketches_then_a_gather(spark, monkeypatch):
+    """What is too much for the counting scan to bring along is gathered, not sketched again."""
+    df = spark.range(60_000).select(F.hash("id").cast("double").alias("x"))
+    asked = []
+    monkeypatch.setattr(Q, "GATHER_AT_ONCE", 10)
+    whole = Q._round
+    monkeypatch.setattr(Q, "_round", lambda *args: asked.append(whole(*args)) or asked[-1])
+    got = Q.narrowed_quantiles(df, {"x": F.col("x")}, [0.25, 0.5])["x"]
+    assert asked == [True, False]
+    values = sorted(r.x for r in df.collect())
+    assert got == [Q.between(values[14_999], values[15_000], 0.75), Q.between(values[29_999], values[30_000], 0.5)]
+
+
+def test_orders_look_at_the_ends_only(spark):
+    """Whole positions are compared for the first and last rows of a value; leads may repeat, be null or no number."""
+    odd = {3: None, 7: math.nan, 8: 0.0, 9: -0.0}
+    rows = [(odd.get(i, float(i // 3)), i % 5, i // 50, None if i == 5 else 1) for i in range(200)]
+    df = spark.createDataFrame(rows, "lead double, seq int, up int, gap int")
+    for order_by in (["lead", "seq"], ["seq", "lead"], ["up", "seq"]):
+        got = {r["column"]: r["direction"] for r in temporal.row_orders(df, ["up", "gap"], order_by).collect()}
+        assert got == {c: R.row_order(df, c, order_by).first()["direction"] for c in got}
+    long = df.filter("lead is not null").select(F.struct("lead", "seq").alias("__at"), F.col("lead").alias("__lead"), F.lit("up").alias("column"), F.col("up").cast("string").alias("value"))
+    assert temporal._at_ends(long).count() < 30 < long.count()
+
+
+def test_few_values_told_from_many(spark):
+    """An estimate that never takes a column of few values for one of many, and has no sketch per column."""
+    df = spark.range(5_000).select(
+        (F.col("id") % 240).alias("most"), (F.col("id") % 400).alias("more"), F.when(F.col("id") % 2 == 0, F.lit("x")).alias("one"),
+        F.lit(None).cast("int").alias("none"), F.when(F.col("id") < 9, math.nan).otherwise(F.col("id") / 3).alias("many"))
+    state = TableState(df)
+    assert state.few == ["most", "one", "none"]
+    assert state._guess["one"] == 1 and state._guess["none"] == 0 and 200 < state._guess["most"] <= 240 < state._guess["more"] <= 400
